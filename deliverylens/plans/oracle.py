@@ -280,5 +280,11 @@ SQL: dict[str, str] = {
       SELECT s_suppkey, area_path, string_split(area_path, '\')[1] AS area_level_1,
         string_split(area_path, '\')[2] AS area_level_2, string_split(area_path, '\')[3] AS area_level_3,
         string_split(area_path, '\')[-1] AS client FROM paths""",
+    "stream_bronze_append": "SELECT * FROM events",
+    "source_partitioned": f"SELECT * FROM events WHERE ts >= {_ts(c.TIME_START)}",
+    "scd1_events_foreach_batch": EVENTS_LATEST,
+    "scd1_events_stream_state": EVENTS_LATEST,
+    "scd1_replay_idempotent": EVENTS_LATEST,
+    "end_to_end_refresh": ROLLUP + " SELECT * FROM rollup ORDER BY release_name NULLS FIRST",
     "closed_parent_tag_flags": BASE + " SELECT id, state, is_closed, has_parent, has_tags, tags FROM stories",
 }
