@@ -51,10 +51,19 @@ def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None,
     return latest_per_key(parsed, STORY_KEYS, FEED_STORY_SEQUENCE, method=method)
 
 
+def current_tables(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver current tables for gold, written once below the shared folder
+    (as the reference stores them) and read back. Gold reads each of them
+    twice (inner and anti branch of the skew-safe mapping); from a written
+    table that is two pruned scans instead of two re-derivations."""
+    issues = materialise(spark, current_issues(spark, sf_dir, as_of, columns=GOLD_ISSUE_COLUMNS), "issues-current")
+    stories = materialise(spark, current_stories(spark, sf_dir, as_of, columns=GOLD_STORY_COLUMNS), "stories-current")
+    return issues, stories
+
+
 def mapped(spark: SparkSession, sf_dir: str, as_of: str | None = None, strategy: str = "skew_safe",
            keep_null_state: bool = False) -> DataFrame:
-    issues = current_issues(spark, sf_dir, as_of, columns=GOLD_ISSUE_COLUMNS)
-    stories = current_stories(spark, sf_dir, as_of, columns=GOLD_STORY_COLUMNS)
+    issues, stories = current_tables(spark, sf_dir, as_of)
     return map_items(issues, stories, strategy=strategy, keep_null_state=keep_null_state)
 
 

@@ -43,6 +43,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.driver.memory", os.environ.get("DELIVERYLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    event_dir = os.environ.get("DELIVERYLENS_EVENT_LOG_DIR")
+    if event_dir:  # stage and task times for profiling, read offline
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
