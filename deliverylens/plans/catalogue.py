@@ -267,6 +267,30 @@ def closed_parent_tag_flags(spark, sf):
     return s.select("id", "state", "is_closed", "has_parent", "has_tags", "tags")
 
 
+def releases_latest_name(spark, sf):
+    """Options: one row per release id with its greatest name, plus a count
+    of distinct issues next to the fanned-out item count."""
+    return refresh.releases(spark, sf, as_of=AS_OF, order=False, latest_name=True, distinct_items=True)
+
+
+def silver_issues_current(spark, sf):
+    p = parse_issues(client_issues_bronze(spark, sf, as_of=AS_OF))
+    cur = latest_per_key(p, refresh.ISSUE_KEYS, refresh.ISSUE_SEQUENCE)
+    cur = cur.withColumn("fix_versions", F.transform("fix_versions", lambda x: F.variant_get(x, "$.name", "string")))
+    return _arrays_as_text(cur)
+
+
+def silver_stories_current(spark, sf):
+    p = parse_stories(internal_stories_bronze(spark, sf, as_of=AS_OF), keep_payload=False)
+    return latest_per_key(p, refresh.STORY_KEYS, refresh.FEED_STORY_SEQUENCE)
+
+
+def gold_views_written(spark, sf):
+    out = scratch_path(spark, "gold")
+    refresh.write_gold(spark, sf, out, as_of=AS_OF)
+    return spark.read.parquet(f"{out}/releases")
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "releases_rollup": releases_rollup,
     "mapped_items": mapped_items,
@@ -303,4 +327,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strip_markup": strip_markup_pages,
     "path_levels": path_levels,
     "closed_parent_tag_flags": closed_parent_tag_flags,
+    "releases_latest_name": releases_latest_name,
+    "silver_issues_current": silver_issues_current,
+    "silver_stories_current": silver_stories_current,
+    "gold_views_written": gold_views_written,
 }

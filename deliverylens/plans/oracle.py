@@ -9,7 +9,7 @@ in the catalogue.
 from __future__ import annotations
 
 from ..functions.states import CLIENT_STATUS_MAP, INTERNAL_STATUS_MAP, UNIFIED_STATES
-from ..sources.tables import BOARD_COLUMN_BY_LINE, CLIENT_HOST, CLIENT_STATUS_BY_MOD12, INTERNAL_HOST
+from ..sources.tables import BOARD_COLUMN_BY_LINE, CLIENT_HOST, CLIENT_STATUS_BY_MOD12, INTERNAL_HOST  # noqa: F401
 from . import catalogue as c
 
 
@@ -286,5 +286,43 @@ SQL: dict[str, str] = {
     "scd1_events_stream_state": EVENTS_LATEST,
     "scd1_replay_idempotent": EVENTS_LATEST,
     "end_to_end_refresh": ROLLUP + " SELECT * FROM rollup ORDER BY release_name NULLS FIRST",
+    "releases_latest_name": _MAPPED_LISTS + f""",
+agg AS (
+  SELECT release_id, max(release_name) AS release_name, sum(effective_story_points) AS story_point_total,
+    CAST(count(jira_id) AS BIGINT) AS amount_of_work_items,
+    CAST(count(*) FILTER (WHERE effective_story_points IS NULL) AS BIGINT) AS work_items_without_story_points,
+    CAST(count(jira_id) AS BIGINT) AS total_work,
+    """ + ",\n    ".join(f"CAST(count(*) FILTER (WHERE unified_state = '{s}') AS BIGINT) AS {s}" for s in UNIFIED_STATES) + f""",
+    CAST(count(DISTINCT trim(jira_id)) AS BIGINT) AS distinct_work_items,
+    {_ts(c.AS_OF)} AS last_update
+  FROM rows GROUP BY release_id)
+SELECT * FROM agg""",
+    "silver_issues_current": "WITH " + CLIENT + f"""
+      SELECT CAST(k AS VARCHAR) AS jira_internal_id, jira_id, jira_name, project_key, project_name, issue_type,
+        status, CAST(NULL AS VARCHAR) AS description, reporter, CAST(NULL AS VARCHAR) AS assignee, priority,
+        story_points, parent_jira_id, {_arr('release_names')} AS fix_versions, {_arr('release_ids')} AS fix_version_ids,
+        {_arr('labels')} AS labels, start_date, CAST(NULL AS VARCHAR) AS due_date, created AS created_date,
+        created AS updated_date, resolution, {_q(CLIENT_HOST + '/browse/')} || jira_id AS url,
+        {_ts(c.AS_OF)} AS extraction_timestamp,
+        coalesce(trim(status) IN ('Closed', 'Done', 'Resolved'), false) AS is_closed,
+        parent_jira_id IS NOT NULL AS has_parent
+      FROM issues""",
+    "silver_stories_current": BASE + rf"""
+      SELECT id, rev, title, {_q(INTERNAL_HOST + '/_workitems/edit/')} || id AS url, 'internal' AS org, project,
+        work_item_type, state, CAST(NULL AS VARCHAR) AS reason, area_path, iteration_path,
+        CAST(NULL AS TIMESTAMP) AS created_date, changed_date, CAST(NULL AS VARCHAR) AS created_by,
+        CAST(NULL AS VARCHAR) AS changed_by, CAST(NULL AS VARCHAR) AS assigned_to, parent_id, tags,
+        CAST(NULL AS VARCHAR) AS description_html, CAST(NULL AS VARCHAR) AS acceptance_criteria_html,
+        board_column, CAST(NULL AS BOOLEAN) AS board_column_done, priority, story_points,
+        CAST(NULL AS TIMESTAMP) AS state_change_date, CAST(NULL AS TIMESTAMP) AS activated_date,
+        CAST(NULL AS TIMESTAMP) AS closed_date, CAST(NULL AS VARCHAR) AS time_tracking_project,
+        CAST(NULL AS VARCHAR) AS time_tracking_product_id, client_id, {_ts(c.AS_OF)} AS extraction_timestamp,
+        CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS acceptance_criteria, client, sprint_name,
+        string_split(area_path, '\')[1] AS area_level_1, string_split(area_path, '\')[2] AS area_level_2,
+        string_split(area_path, '\')[3] AS area_level_3, string_split(iteration_path, '\')[1] AS iteration_level_1,
+        string_split(iteration_path, '\')[2] AS iteration_level_2,
+        string_split(iteration_path, '\')[3] AS iteration_level_3, is_closed, has_parent, has_tags
+      FROM stories""",
+    "gold_views_written": ROLLUP + " SELECT * FROM rollup",
     "closed_parent_tag_flags": BASE + " SELECT id, state, is_closed, has_parent, has_tags, tags FROM stories",
 }

@@ -72,6 +72,22 @@ def releases(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwarg
     return release_rollup(mapped(spark, sf_dir, as_of), as_of=as_of, **kwargs)
 
 
+def write_gold(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str | None = None):
+    """Materialised gold views, overwritten on every run: the 42-column mapping
+    (warn rule observed while it is written) and the 17-column releases table
+    (fail rule and NOT NULL checked inline, so a broken row aborts the write
+    before anything is committed). Returns the warn observation."""
+    from ..operators import gold, quality
+
+    mapped_df = quality.enforce_schema(mapped(spark, sf_dir, as_of), gold.MAPPED_ITEMS_DDL)
+    mapped_df, warn = quality.with_warn_rules(mapped_df, [gold.MAPPING_WARN_RULE], "mapped_items")
+    mapped_df.write.mode("overwrite").parquet(f"{out_dir}/mapped_items")
+    rel = release_rollup(spark.read.parquet(f"{out_dir}/mapped_items"), as_of=as_of, order=False)
+    rel = quality.enforce_schema(quality.with_fail_rules(rel, [gold.RELEASE_FAIL_RULE]), gold.RELEASES_DDL)
+    rel.write.mode("overwrite").parquet(f"{out_dir}/releases")
+    return warn
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: cuts
     lineage and survives executor loss (unlike a local checkpoint)."""
