@@ -89,9 +89,11 @@ def active_stories(stories: DataFrame, keep_null_state: bool = False) -> DataFra
     return stories.filter(F.col("state") != REMOVED_STATE)
 
 
-def _issue_cols(prefix: str = "i") -> list[Column]:
+def _issue_cols(prefix: str = "i", only: set[str] | None = None) -> list[Column]:
     out = []
     for name, src in ISSUE_SIDE:
+        if only is not None and name not in only:
+            continue
         if src is None:  # release names come out of the VARIANT array
             out.append(F.transform(F.col(f"{prefix}.fix_versions"),
                                    lambda x: F.variant_get(x, "$.name", "string")).alias(name))
@@ -100,30 +102,41 @@ def _issue_cols(prefix: str = "i") -> list[Column]:
     return out
 
 
-def _story_cols(prefix: str = "s") -> list[Column]:
-    return [F.col(f"{prefix}.{src}").alias(name) for name, src in STORY_SIDE]
+def _story_cols(prefix: str = "s", only: set[str] | None = None) -> list[Column]:
+    return [F.col(f"{prefix}.{src}").alias(name) for name, src in STORY_SIDE if only is None or name in only]
+
+
+def silver_columns_for(columns: list[str] | None) -> tuple[list[str], list[str]]:
+    """Silver issue / story columns that the given mapping outputs read."""
+    want = None if columns is None else set(columns)
+    issue = {"jira_id"} | {src or "fix_versions" for n, src in ISSUE_SIDE if want is None or n in want}
+    story = {"client_id", "state"} | {src for n, src in STORY_SIDE if want is None or n in want}
+    return sorted(issue), sorted(story)
 
 
 def map_items(issues: DataFrame, stories: DataFrame, strategy: str = "skew_safe",
-              keep_null_state: bool = False) -> DataFrame:
-    """Client issues x internal stories -> the 42-column mapping (module doc)."""
+              keep_null_state: bool = False, columns: list[str] | None = None) -> DataFrame:
+    """Client issues x internal stories -> the 42-column mapping (module doc).
+    ``columns`` keeps only those output columns (in contract order), so the
+    inputs need only the silver columns that feed them."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    only = None if columns is None else set(columns) | {"jira_id"}
     i = issues.withColumn(_KEY, F.trim(F.col("jira_id"))).alias("i")
     s = active_stories(stories, keep_null_state).withColumn(_KEY, F.trim(F.col("client_id"))).alias("s")
     cond = F.col(f"i.{_KEY}") == F.col(f"s.{_KEY}")
     if strategy == "left_join":
-        return i.join(s, cond, "left").select(*_issue_cols(), *_story_cols())
-    matched = i.join(s, cond, "inner").select(*_issue_cols(), *_story_cols())
+        return i.join(s, cond, "left").select(*_issue_cols(only=only), *_story_cols(only=only))
+    matched = i.join(s, cond, "inner").select(*_issue_cols(only=only), *_story_cols(only=only))
     keys = s.select(F.col(_KEY)).filter(F.col(_KEY).isNotNull()).distinct().alias("k")
     unmatched = i.join(keys, F.col(f"i.{_KEY}") == F.col(f"k.{_KEY}"), "left_anti").select(
-        *_issue_cols(), *[F.lit(None).cast(t).alias(n) for n, t in _story_types(stories)])
+        *_issue_cols(only=only), *[F.lit(None).cast(t).alias(n) for n, t in _story_types(stories, only)])
     return matched.unionByName(unmatched)
 
 
-def _story_types(stories: DataFrame) -> list[tuple[str, str]]:
+def _story_types(stories: DataFrame, only: set[str] | None = None) -> list[tuple[str, str]]:
     types = dict((f.name, f.dataType) for f in stories.schema.fields)
-    return [(name, types[src].simpleString()) for name, src in STORY_SIDE]
+    return [(name, types[src].simpleString()) for name, src in STORY_SIDE if only is None or name in only]
 
 
 def unmatched_items(issues: DataFrame, stories: DataFrame, keep_null_state: bool = False) -> DataFrame:
@@ -159,6 +172,11 @@ def effective_points(df: DataFrame) -> DataFrame:
         F.col("ado_story_points").cast("double"), F.col("jira_story_points").cast("double")))
 
 
+# Mapping columns the roll-up reads.
+ROLLUP_INPUT = ["jira_id", "jira_status", "jira_story_points", "jira_fix_versions", "release_ids",
+                "ado_story_id", "ado_story_points", "ado_board_column"]
+
+
 def release_rollup(mapped: DataFrame, as_of: str | None = None, order: bool = True,
                    distinct_items: bool = False, latest_name: bool = False) -> DataFrame:
     """Per-release workload and progress: the 17-column ``releases`` table.

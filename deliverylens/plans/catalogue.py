@@ -71,34 +71,34 @@ def mapped_items_keep_null_state(spark, sf):
 
 
 def unmatched_items(spark, sf):
-    issues = refresh.current_issues(spark, sf, AS_OF, columns=refresh.GOLD_ISSUE_COLUMNS)
-    stories = refresh.current_stories(spark, sf, AS_OF, columns=refresh.GOLD_STORY_COLUMNS)
+    issues, stories = refresh.current_tables(spark, sf, AS_OF, ["jira_id", "jira_name", "jira_status",
+                                                                 "jira_story_points"])
     return gold.unmatched_items(issues, stories).select("jira_id", "jira_name", "status", "story_points")
 
 
 def unified_state_counts(spark, sf):
-    m = refresh.mapped(spark, sf, AS_OF)
+    m = refresh.mapped(spark, sf, AS_OF, columns=gold.ROLLUP_INPUT)
     return (m.withColumn("unified_state", unified_state_col("ado_board_column", "jira_status"))
             .groupBy("unified_state").agg(F.count(F.lit(1)).alias("n")))
 
 
 def effective_points(spark, sf):
-    m = gold.effective_points(refresh.mapped(spark, sf, AS_OF))
+    m = gold.effective_points(refresh.mapped(spark, sf, AS_OF, columns=gold.ROLLUP_INPUT))
     return m.select("jira_id", "ado_story_id", "jira_story_points", "ado_story_points", "effective_story_points")
 
 
 def release_explode(spark, sf):
-    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF))
+    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF, columns=gold.ROLLUP_INPUT))
     return e.select("jira_id", "ado_story_id", "release_id", "release_name")
 
 
 def release_explode_outer(spark, sf):
-    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF), outer=True)
+    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF, columns=gold.ROLLUP_INPUT), outer=True)
     return e.select("jira_id", "ado_story_id", "release_id", "release_name")
 
 
 def release_state_long(spark, sf):
-    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF))
+    e = gold.explode_releases(refresh.mapped(spark, sf, AS_OF, columns=gold.ROLLUP_INPUT))
     e = e.withColumn("unified_state", unified_state_col("ado_board_column", "jira_status"))
     return e.groupBy("release_id", "release_name", "unified_state").agg(F.count("jira_id").alias("n"))
 
@@ -111,7 +111,7 @@ def release_conservation(spark, sf):
 
 
 def quality_warn_counts(spark, sf):
-    m = refresh.mapped(spark, sf, AS_OF)
+    m = refresh.mapped(spark, sf, AS_OF, columns=["jira_id", "ado_story_id"])
     rules = [gold.MAPPING_WARN_RULE, quality.Rule("jira_id is not null", "jira_id IS NOT NULL")]
     counts = quality.rule_counts(m, rules)
     return counts.select(F.col(f"`{rules[0].name}`").alias("missing_internal_story"),

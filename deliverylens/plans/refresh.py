@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.gold import STORY_SIDE, map_items, release_rollup
+from ..operators.gold import ROLLUP_INPUT, STORY_SIDE, map_items, release_rollup, silver_columns_for
 from ..operators.scd import latest_per_key
 from ..operators.silver import parse_issues, parse_stories
 from ..session import scratch_path
@@ -51,25 +51,32 @@ def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None,
     return latest_per_key(parsed, STORY_KEYS, FEED_STORY_SEQUENCE, method=method)
 
 
-def current_tables(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+def current_tables(spark: SparkSession, sf_dir: str, as_of: str | None = None,
+                   columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Silver current tables for gold, written once below the shared folder
     (as the reference stores them) and read back. Gold reads each of them
     twice (inner and anti branch of the skew-safe mapping); from a written
-    table that is two pruned scans instead of two re-derivations."""
-    issues = materialise(spark, current_issues(spark, sf_dir, as_of, columns=GOLD_ISSUE_COLUMNS), "issues-current")
-    stories = materialise(spark, current_stories(spark, sf_dir, as_of, columns=GOLD_STORY_COLUMNS), "stories-current")
+    table that is two pruned scans instead of two re-derivations.
+
+    ``columns`` (mapping output names) narrows both tables to the silver
+    columns those outputs need, so only those payload paths are extracted."""
+    issue_cols, story_cols = silver_columns_for(columns)
+    issue_cols = sorted(set(issue_cols) | set(ISSUE_KEYS) | set(ISSUE_SEQUENCE))
+    story_cols = sorted(set(story_cols) | set(STORY_KEYS) | set(FEED_STORY_SEQUENCE))
+    issues = materialise(spark, current_issues(spark, sf_dir, as_of, columns=issue_cols), "issues-current")
+    stories = materialise(spark, current_stories(spark, sf_dir, as_of, columns=story_cols), "stories-current")
     return issues, stories
 
 
 def mapped(spark: SparkSession, sf_dir: str, as_of: str | None = None, strategy: str = "skew_safe",
-           keep_null_state: bool = False) -> DataFrame:
-    issues, stories = current_tables(spark, sf_dir, as_of)
-    return map_items(issues, stories, strategy=strategy, keep_null_state=keep_null_state)
+           keep_null_state: bool = False, columns: list[str] | None = None) -> DataFrame:
+    issues, stories = current_tables(spark, sf_dir, as_of, columns)
+    return map_items(issues, stories, strategy=strategy, keep_null_state=keep_null_state, columns=columns)
 
 
 def releases(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwargs) -> DataFrame:
     """The flagship: per-release roll-up straight from the change feeds."""
-    return release_rollup(mapped(spark, sf_dir, as_of), as_of=as_of, **kwargs)
+    return release_rollup(mapped(spark, sf_dir, as_of, columns=ROLLUP_INPUT), as_of=as_of, **kwargs)
 
 
 def write_gold(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str | None = None):
