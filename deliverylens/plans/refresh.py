@@ -100,4 +100,4 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     lineage and survives executor loss (unlike a local checkpoint)."""
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
