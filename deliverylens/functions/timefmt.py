@@ -36,3 +36,22 @@ def utc_to_local_wall_clock(c: Column | str, zone: str) -> Column:
 def parse_offset_time(text: str) -> Column:
     """Offset text (minute form or ISO Z) -> TIMESTAMP_NTZ literal column."""
     return F.to_timestamp_ntz(F.lit(text.replace("T", " ").rstrip("Z")))
+
+
+def safe_local_start(c: Column | str, zone: str) -> Column:
+    """Local wall-clock start bound that never starts late.
+
+    In the hour that repeats when clocks go back, one local text names two
+    instants, and a tracker may read it as the later one; changes between the
+    two would be skipped. When the instant's local text is ambiguous (a
+    neighbouring instant within an hour maps to a wall clock less than an hour
+    away), the bound moves one hour earlier; the inclusive re-read overlap is
+    removed by the keyed upsert downstream."""
+    c = F.col(c) if isinstance(c, str) else c
+    hour = F.expr("INTERVAL 1 HOUR")
+    local = F.from_utc_timestamp(c, zone)
+    before = F.from_utc_timestamp(c - hour, zone)
+    after = F.from_utc_timestamp(c + hour, zone)
+    secs = F.unix_seconds
+    ambiguous = ((secs(local) - secs(before)) < 3600) | ((secs(after) - secs(local)) < 3600)
+    return F.date_format(F.when(ambiguous, before).otherwise(local), MINUTE_FORMAT)

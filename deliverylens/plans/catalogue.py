@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import FieldSpec, cast_failures, field_col, parse_payload, strip_markup, with_path_levels
 from ..functions.states import unified_state_col
-from ..functions.timefmt import utc_to_local_wall_clock
+from ..functions.timefmt import safe_local_start, utc_to_local_wall_clock
 from ..operators import gold, quality
 from ..operators.scd import latest_per_key
 from ..operators.silver import parse_issues, parse_stories
@@ -173,6 +173,11 @@ def slice_local_zone(spark, sf):
     return e.select("event_id", "ts", utc_to_local_wall_clock("ts", LOCAL_ZONE).alias("local_minute"))
 
 
+def slice_local_zone_safe(spark, sf):
+    e = inc.slice_time(_events(spark, sf), TIME_START)
+    return e.select("event_id", "ts", safe_local_start("ts", LOCAL_ZONE).alias("safe_local_minute"))
+
+
 def project_list_filter(spark, sf):
     e = inc.project_filter(_events(spark, sf), PROJECT_OPTION, "event_type")
     return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("max_event_id"))
@@ -315,6 +320,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_offset": next_offset,
     "next_offset_minute": next_offset_minute,
     "slice_local_zone": slice_local_zone,
+    "slice_local_zone_safe": slice_local_zone_safe,
     "project_list_filter": project_list_filter,
     "type_filter_slice": type_filter_slice,
     "id_chunks": id_chunks,

@@ -238,6 +238,13 @@ SQL: dict[str, str] = {
     "slice_local_zone": f"""
       SELECT event_id, ts, strftime(timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts)), '%Y-%m-%d %H:%M') AS local_minute
       FROM events WHERE ts >= {_ts(c.TIME_START)}""",
+    "slice_local_zone_safe": f"""
+      SELECT event_id, ts, strftime(CASE WHEN epoch(l) - epoch(b) < 3600 OR epoch(a) - epoch(l) < 3600 THEN b ELSE l END,
+                                    '%Y-%m-%d %H:%M') AS safe_local_minute
+      FROM (SELECT event_id, ts, timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts)) AS l,
+                   timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts - INTERVAL 1 HOUR)) AS b,
+                   timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts + INTERVAL 1 HOUR)) AS a
+            FROM events WHERE ts >= {_ts(c.TIME_START)})""",
     "project_list_filter": """
       SELECT event_type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS max_event_id FROM events
       WHERE event_type IN ('view', 'click', 'purchase') GROUP BY event_type""",

@@ -57,3 +57,14 @@ def test_id_chunks_match_consecutive_ranks(spark):
     got = {r.k: r.chunk_id for r in out.collect()}
     want = {k: i // 200 for i, k in enumerate(range(0, 2000, 3))}
     assert got == want
+
+
+def test_safe_local_start_moves_back_in_the_repeated_hour(spark):
+    from deliverylens.functions.timefmt import safe_local_start
+    rows = [(dt.datetime(2024, 10, 27, 0, 30),), (dt.datetime(2024, 10, 27, 1, 30),),
+            (dt.datetime(2024, 10, 27, 3, 0),), (dt.datetime(2024, 3, 31, 1, 30),), (dt.datetime(2024, 1, 15, 12, 0),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    got = [r[0] for r in df.select(safe_local_start("ts", "Europe/Berlin")).collect()]
+    # 00:30 and 01:30 UTC both read 02:30 locally: start from the earlier reading
+    assert got == ["2024-10-27 01:30", "2024-10-27 02:30", "2024-10-27 04:00", "2024-03-31 03:30",
+                   "2024-01-15 13:00"]
