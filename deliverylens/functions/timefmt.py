@@ -33,11 +33,6 @@ def utc_to_local_wall_clock(c: Column | str, zone: str) -> Column:
     return F.date_format(F.from_utc_timestamp(c, zone), MINUTE_FORMAT)
 
 
-def parse_offset_time(text: str) -> Column:
-    """Offset text (minute form or ISO Z) -> TIMESTAMP_NTZ literal column."""
-    return F.to_timestamp_ntz(F.lit(text.replace("T", " ").rstrip("Z")))
-
-
 def safe_local_start(c: Column | str, zone: str) -> Column:
     """Local wall-clock start bound that never starts late.
 
