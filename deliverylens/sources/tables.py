@@ -49,13 +49,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = F
 
 
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than the cluster has
-    cores (one Parquet row group is one split), so per-row work such as JSON
+    """Spread a scan that has fewer input splits than the cluster has cores
+    (one Parquet row group is one split), so per-row work such as JSON
     building and parsing runs on every core. At cluster scale a scan already
     has thousands of splits and this is a no-op; the check is planning only.
-    """
+
+    Rows are hashed on their position in the scan: as even as round-robin
+    (exact duplicate rows are spread too, unlike a hash of the row), but
+    without round-robin's per-partition sort."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, F.xxhash64(F.monotonically_increasing_id()))
 
 
 def _pick(index: Column, values: list[str]) -> Column:
