@@ -290,6 +290,18 @@ def silver_stories_current(spark, sf):
     return latest_per_key(p, refresh.STORY_KEYS, refresh.FEED_STORY_SEQUENCE)
 
 
+def stored_variant_paths(spark, sf):
+    """Current stories stored with their parsed payload (VARIANT) and read
+    back: the path reads are pushed into the Parquet scan, which reads only
+    those paths of the stored VARIANT."""
+    cur = refresh.materialise(spark, refresh.current_stories(spark, sf, AS_OF), "stories-payload")
+    v = F.col("raw_data")
+    return cur.select("id",
+                      F.variant_get(v, '$.fields["System.State"]', "string").alias("payload_state"),
+                      F.variant_get(v, '$.fields["Custom.Client_ID"]', "string").alias("payload_client_id"),
+                      F.variant_get(v, "$.rev", "int").alias("payload_rev"))
+
+
 def gold_views_written(spark, sf):
     out = scratch_path(spark, "gold")
     refresh.write_gold(spark, sf, out, as_of=AS_OF)
@@ -336,5 +348,6 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "releases_latest_name": releases_latest_name,
     "silver_issues_current": silver_issues_current,
     "silver_stories_current": silver_stories_current,
+    "stored_variant_paths": stored_variant_paths,
     "gold_views_written": gold_views_written,
 }

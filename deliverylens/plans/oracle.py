@@ -330,6 +330,8 @@ SELECT * FROM agg""",
         string_split(iteration_path, '\')[2] AS iteration_level_2,
         string_split(iteration_path, '\')[3] AS iteration_level_3, is_closed, has_parent, has_tags
       FROM stories""",
+    "stored_variant_paths": BASE + """
+      SELECT id, state AS payload_state, client_id AS payload_client_id, rev AS payload_rev FROM stories""",
     "gold_views_written": ROLLUP + " SELECT * FROM rollup",
     "closed_parent_tag_flags": BASE + " SELECT id, state, is_closed, has_parent, has_tags, tags FROM stories",
 }
