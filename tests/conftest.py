@@ -12,16 +12,20 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    ck = str(tmp_path_factory.mktemp("checkpoints"))
     s = (SparkSession.builder.master("local[4]").appName("deliverylens-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.checkpoint.dir", ck)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    # Use the shared folder the environment names; only where none is set,
+    # take a private one for the test run.
+    ck = s.conf.get("spark.checkpoint.dir", None)
+    if not ck:
+        ck = str(tmp_path_factory.mktemp("checkpoints"))
+        s.conf.set("spark.checkpoint.dir", ck)
     s.sparkContext.setCheckpointDir(ck)
     yield s
     s.stop()
