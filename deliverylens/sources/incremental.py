@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import ISO_Z_FORMAT, MINUTE_FORMAT, floor_minute
+from .changefeed import parse_project_option  # noqa: F401  (option parsing shared with the stream source)
 
 MODES = ("and_both", "keyset")
 
@@ -74,16 +75,6 @@ def next_offset(read: DataFrame, start: dict, ts_col: str = "ts", id_col: str =
     return read.groupBy(*group_cols).agg(*aggs)
 
 
-def parse_project_option(raw: str | None) -> list[str] | None:
-    """Source option ``projects``: blank, ``ALL`` or ``*`` -> None (all);
-    otherwise a comma list, items trimmed, blanks dropped. This is option text
-    from the configuration, not data."""
-    raw = (raw or "ALL").strip()
-    if not raw or raw.upper() in ("ALL", "*"):
-        return None
-    return [p.strip() for p in raw.split(",") if p.strip()]
-
-
 def project_filter(df: DataFrame, option: str | None, project_col: str) -> DataFrame:
     projects = parse_project_option(option)
     return df if projects is None else df.filter(F.col(project_col).isin(projects))
