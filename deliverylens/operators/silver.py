@@ -65,20 +65,31 @@ def _with_mode(specs: list[FieldSpec], mode: str) -> list[FieldSpec]:
     return [FieldSpec(s.name, s.path, s.type, mode) for s in specs]
 
 
-def parse_issues(bronze: DataFrame, mode: str = "strict") -> DataFrame:
-    """Bronze issues (envelope + ``raw_data`` JSON text) -> parsed issues, 25 columns.
+PAYLOAD_HASH = "payload_hash"
+
+
+def _payload_hash(with_hash: bool) -> list:
+    """Optional 64-bit hash of the raw payload text: the last-resort sequence
+    field that makes equal sequences resolve deterministically."""
+    return [F.xxhash64("raw_data").alias(PAYLOAD_HASH)] if with_hash else []
+
+
+def parse_issues(bronze: DataFrame, mode: str = "strict", with_hash: bool = False) -> DataFrame:
+    """Bronze issues (envelope + ``raw_data`` JSON text) -> parsed issues, 25 columns
+    (+ ``payload_hash`` when ``with_hash``).
 
     ``fix_version_ids`` is derived from the already extracted ``fix_versions``
     array, so the path is read once.
     """
     specs = _with_mode(ISSUE_FIELDS, mode)
     v = parse_payload("raw_data", lenient=(mode == "try"))
+    extra = [PAYLOAD_HASH] if with_hash else []
     parsed = bronze.select(
         "jira_internal_id", "key", "summary", "project", "issue_type", "url", "extraction_timestamp",
-        v.alias("_v"),
+        v.alias("_v"), *_payload_hash(with_hash),
     ).select(
         "jira_internal_id", "key", "summary", "project", "issue_type", "url", "extraction_timestamp",
-        *[field_col("_v", s) for s in specs],
+        *[field_col("_v", s) for s in specs], *extra,
     )
     return parsed.select(
         F.col("jira_internal_id"),
@@ -106,24 +117,27 @@ def parse_issues(bronze: DataFrame, mode: str = "strict") -> DataFrame:
         F.col("extraction_timestamp"),
         F.trim(F.col("status")).isin(*CLIENT_CLOSED_STATUSES).eqNullSafe(True).alias("is_closed"),
         F.col("parent_jira_id").isNotNull().alias("has_parent"),
+        *[F.col(c) for c in extra],
     )
 
 
-def parse_stories(bronze: DataFrame, mode: str = "strict", keep_payload: bool = True) -> DataFrame:
+def parse_stories(bronze: DataFrame, mode: str = "strict", keep_payload: bool = True,
+                  with_hash: bool = False) -> DataFrame:
     """Bronze stories -> parsed stories, 45 columns (the parsed payload is kept
-    as VARIANT when ``keep_payload``)."""
+    as VARIANT when ``keep_payload``; + ``payload_hash`` when ``with_hash``)."""
     specs = _with_mode(STORY_FIELDS, mode)
     v = parse_payload("raw_data", lenient=(mode == "try"))
+    extra = [PAYLOAD_HASH] if with_hash else []
     base = bronze.select(
         F.col("id").cast("string").alias("id"),
         (F.col("rev").cast("int") if mode == "strict" else F.col("rev").try_cast("int")).alias("rev"),
         "title", "url", "org", "project", "extraction_timestamp",
-        v.alias("raw_data"),
+        v.alias("raw_data"), *_payload_hash(with_hash),
     )
     parsed = base.select(
         "id", "rev", "title", "url", "org", "project",
         *[field_col("raw_data", s) for s in specs],
-        "extraction_timestamp", "raw_data",
+        "extraction_timestamp", "raw_data", *extra,
     )
     area = path_parts("area_path")
     iteration = path_parts("iteration_path")

@@ -8,10 +8,11 @@ writes several of them can cut lineage by writing the current tables below
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.gold import ROLLUP_INPUT, STORY_SIDE, map_items, release_rollup, silver_columns_for
 from ..operators.scd import latest_per_key
-from ..operators.silver import parse_issues, parse_stories
+from ..operators.silver import PAYLOAD_HASH, parse_issues, parse_stories
 from ..session import scratch_path
 from ..sources.tables import client_issues_bronze, internal_stories_bronze
 
@@ -35,20 +36,30 @@ GOLD_STORY_COLUMNS = sorted({src for _, src in STORY_SIDE} | {"client_id", "chan
 
 
 def current_issues(spark: SparkSession, sf_dir: str, as_of: str | None = None,
-                   method: str = "max_by", columns: list[str] | None = None) -> DataFrame:
-    parsed = parse_issues(client_issues_bronze(spark, sf_dir, as_of=as_of))
-    if columns:
-        parsed = parsed.select(*columns)
-    return latest_per_key(parsed, ISSUE_KEYS, ISSUE_SEQUENCE, method=method)
+                   method: str = "max_by", columns: list[str] | None = None,
+                   tie_break: bool = True) -> DataFrame:
+    """Latest parsed issue per key. ``tie_break`` adds the payload hash as the
+    last sequence field (equal sequences resolve deterministically)."""
+    parsed = parse_issues(client_issues_bronze(spark, sf_dir, as_of=as_of), with_hash=tie_break)
+    return _latest(parsed, ISSUE_KEYS, ISSUE_SEQUENCE, method, columns, tie_break)
 
 
 def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None,
-                    method: str = "max_by", columns: list[str] | None = None) -> DataFrame:
+                    method: str = "max_by", columns: list[str] | None = None,
+                    tie_break: bool = True) -> DataFrame:
     """All line-item revisions parsed, then reduced to the latest per story."""
-    parsed = parse_stories(internal_stories_bronze(spark, sf_dir, as_of=as_of), keep_payload=columns is None)
+    parsed = parse_stories(internal_stories_bronze(spark, sf_dir, as_of=as_of), keep_payload=columns is None,
+                           with_hash=tie_break)
+    return _latest(parsed, STORY_KEYS, FEED_STORY_SEQUENCE, method, columns, tie_break)
+
+
+def _latest(parsed: DataFrame, keys: list[str], sequence: list[str], method: str,
+            columns: list[str] | None, tie_break: bool) -> DataFrame:
     if columns:
-        parsed = parsed.select(*columns)
-    return latest_per_key(parsed, STORY_KEYS, FEED_STORY_SEQUENCE, method=method)
+        parsed = parsed.select(*columns, *([PAYLOAD_HASH] if tie_break else []))
+    out = latest_per_key(parsed, keys, sequence, method=method,
+                         tie_break=F.col(PAYLOAD_HASH) if tie_break else None)
+    return out.drop(PAYLOAD_HASH) if tie_break else out
 
 
 def current_tables(spark: SparkSession, sf_dir: str, as_of: str | None = None,
