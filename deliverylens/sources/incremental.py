@@ -93,9 +93,13 @@ def id_chunks(df: DataFrame, id_col: str, chunk_size: int, stage_path: str) -> D
     4. rank = offset + position.
     """
     sc = df.sparkSession
-    n = max(1, df.rdd.getNumPartitions())
+    n = max(1, df.rdd.getNumPartitions(), sc.sparkContext.defaultParallelism)
     pid = F.spark_partition_id()
-    staged = (df.select(F.col(id_col)).repartitionByRange(n, id_col).sortWithinPartitions(id_col)
+    # ``_tb`` (a hash of the row's scan position) breaks ties between copies of
+    # one id, so the range partitioner can split even an id value that holds a
+    # third of all rows; copies are interchangeable in the ranking.
+    ids = df.select(F.col(id_col)).withColumn("_tb", F.xxhash64(F.monotonically_increasing_id()))
+    staged = (ids.repartitionByRange(n, id_col, "_tb").sortWithinPartitions(id_col, "_tb")
               .withColumn("_pid", pid)
               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)))
     staged.write.mode("overwrite").parquet(stage_path)

@@ -49,3 +49,21 @@ def test_mapping_keeps_every_row_of_a_hot_issue(spark):
         counts = {r.jira_id: (r.n, r.rows) for r in got.groupBy("jira_id").agg(
             F.count("ado_story_id").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
         assert counts == {"HOT": (2000, 2000), " COLD ": (1000, 1000), "NONE": (0, 1)}
+
+
+def test_id_chunks_with_a_hot_id_value(spark):
+    from deliverylens.session import scratch_path
+    from deliverylens.sources import incremental as inc
+
+    ids = [7] * 1000 + list(range(2000))  # one id value holds a third of the rows
+    df = spark.createDataFrame([(i,) for i in ids], "k bigint").repartition(4)
+    out = inc.id_chunks(df, "k", 200, scratch_path(spark, "chunks"))
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.chunk_id, []).append(r.k)
+    want = sorted(ids)
+    assert sorted(got) == list(range(len(want) // 200))
+    for c, members in got.items():
+        assert sorted(members) == want[c * 200:(c + 1) * 200]
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1
