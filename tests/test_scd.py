@@ -64,3 +64,19 @@ def test_keyed_table_late_rows_ignored(spark):
     assert [r.v for r in table.read().collect()] == ["new"]
     assert table.last_committed_batch() == 1
     random.seed(0)
+
+
+def test_keyed_table_writes_one_file_per_touched_bucket(spark):
+    import glob
+    import os
+
+    rows = [(f"k{n}", n, 0, "v") for n in range(400)]
+    table = KeyedTable(spark, scratch_path(spark, "files"), spark.createDataFrame([], SCHEMA).schema,
+                       ["k"], ["seq", "stamp"], buckets=4)
+    table.upsert(spark.createDataFrame(rows, SCHEMA).repartition(8), 0)
+    root = table.root.replace("file:", "")
+    folders = sorted(glob.glob(os.path.join(root, "data", "v=0", "_bucket=*")))
+    assert len(folders) == 4
+    for f in folders:
+        assert len(glob.glob(os.path.join(f, "*.parquet"))) == 1
+    assert table.read().count() == 400
