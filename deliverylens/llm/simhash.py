@@ -40,7 +40,8 @@ SAMPLE = 16_384
 SHARD_TARGET = 8_192
 SHARD_LIMIT = 65_536
 LEAF = 384
-_DENSE = 0.85  # a split that leaves more than this in one child is not worth its copies
+#: A split that leaves more than this share in one child is not worth its copies, across tasks and within one.
+_DENSE_TOP, _DENSE = 0.72, 0.85
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -84,7 +85,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: Column | None = None) -
 
 # ---------------------------------------------------------------- vantage points
 
-def _split(x: np.ndarray, bits: int) -> tuple[np.uint64, int, np.ndarray, np.ndarray] | None:
+def _split(x: np.ndarray, bits: int, dense: float) -> tuple[np.uint64, int, np.ndarray, np.ndarray] | None:
     """Vantage point, radius, near mask and far mask (they overlap by ``bits``, 1 at least); None if no split pays."""
     bits = max(1, bits)
     best = None
@@ -95,7 +96,7 @@ def _split(x: np.ndarray, bits: int) -> tuple[np.uint64, int, np.ndarray, np.nda
         radius = int(np.argmin(worst))
         if best is None or worst[radius] < best[0] * len(sample):
             best = (worst[radius] / len(sample), v, radius)
-    if best is None or best[0] > _DENSE:
+    if best is None or best[0] > dense:
         return None
     _, v, radius = best
     d = np.bitwise_count(x ^ v).astype(np.int64)
@@ -115,7 +116,7 @@ def build_top(sample: np.ndarray, shards: int, bits: int) -> list:
 
     def grow(x: np.ndarray, want: float) -> int:
         nonlocal leaves
-        split = _split(x, bits) if want > 1 and len(x) >= 16 else None
+        split = _split(x, bits, _DENSE_TOP) if want > 1 and len(x) >= 16 else None
         if split is None:
             leaves += 1
             return -leaves
@@ -181,7 +182,7 @@ def linked(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     while todo:
         who = todo.pop()
         y = x[who]
-        split = _split(y, bits) if len(who) > LEAF else None
+        split = _split(y, bits, _DENSE) if len(who) > LEAF else None
         if split is not None:
             todo += [who[split[2]], who[split[3]]]
             continue
