@@ -6,9 +6,11 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from deliverylens.llm import langid, simhash
+from deliverylens.llm import langid, packing, secrets, simhash
 from deliverylens.llm.common import written
 
 
@@ -23,7 +25,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, shingle=3, bits=3)
 
 
-STAGES = [("language_id", language), ("simhash_near_dedup", near_duplicates)]
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, the secrets in its text masked and ``n_chars`` counted anew."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with the sequences that hold them."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", language), ("simhash_near_dedup", near_duplicates),
+          ("secret_scan", secret_scan), ("best_fit_packing", pack)]
 
 ORACLE_SQL = None
 

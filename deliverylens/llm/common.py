@@ -32,6 +32,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns renamed by place, so that no name clashes, and the new names of ``names``."""
+    new = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*new), [new[df.columns.index(n)] for n in names]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives the loss of any executor."""
     spark = df.sparkSession

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BoundedCache, id_crc32, small_batches
+from .common import BoundedCache, id_crc32, numbered, small_batches
 
 UNDETERMINED = "und"
 PROFILE_SIZE = 300
@@ -137,18 +137,19 @@ def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_S
     Columns of the input named like the two new ones are replaced.
     """
     small_batches(docs.sparkSession)
-    rows = docs.drop("lang_pred", "score")
+    given = docs.drop("lang_pred", "score")
+    rows, (text,) = numbered(given, "text")
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, grams = RankOrder(model, profile_size), BoundedCache(word_grams, CACHE_WORDS)
         for b in batches:
-            found = [ranks.predict(t, grams) for t in b["text"].to_pylist()]
+            found = [ranks.predict(t, grams) for t in b[text].to_pylist()]
             yield (b.append_column("lang_pred", pa.array([x[0] for x in found], pa.string()))
                    .append_column("score", pa.array([x[1] for x in found], pa.float64())))
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(score, schema).toDF(*given.columns, "lang_pred", "score")
 
 
 def training_fold(docs: DataFrame, folds: int, held: int) -> DataFrame:

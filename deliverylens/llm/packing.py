@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from .common import small_batches, written
@@ -283,7 +284,8 @@ def pack(docs: DataFrame, vocabulary: str, cap: int = SEQUENCE, end_id: int = EN
     cols = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     ranked = (table.join(counts.select("part", "length", "base"), ["part", "length"])
               .select(*cols, (F.col("base") + F.col("nth")).alias("rank")))
-    schema = ranked.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()),
+                           T.StructField("offset", T.LongType())])
     return ranked.mapInArrow(assign, schema).drop("rank")
 
 

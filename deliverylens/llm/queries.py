@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, simhash
+from . import bpe, langid, packing, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(_table(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,7 +35,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bpe, op6_simhash, op7_language_id)
+    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op6_simhash, op7_language_id)
 }
 
 #: DuckDB SQL of the operators that SQL can express.

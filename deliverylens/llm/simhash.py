@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import numbered, small_batches, written
 from .components import components
 
 SEED = 42
@@ -255,8 +255,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     That is the row of the smallest id, null ids last; among rows of one id
     the first by a hash of the row, and of rows alike in every column one.
     """
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = fingerprints(docs, shingle, key)
+    given, (doc_id, text) = numbered(docs, "doc_id", "text")
+    row, key = F.struct(*given.columns), F.xxhash64(*given.columns)
+    rows = fingerprints(given.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), key.alias("key")),
+                        shingle, F.col("key"))
     alike = rows.groupBy("fp", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key", "n")).alias("first")
     distinct = written(alike.groupBy("fp").agg(first), "distinct")
@@ -264,9 +266,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     stay = written(rooted.groupBy("root").agg(F.min("first").alias("first"))
                    .select(F.col("first.doc_id").alias("id_"), F.col("first.key").alias("key_"),
                            F.col("first.n").alias("n_")), "stay")
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    kept = given.join(stay, (F.col("key") == F.col("key_")) & F.col("row.doc_id").eqNullSafe(F.col("id_")))
+    kept = (given.select(row.alias("row"), key.alias("key"))
+            .join(stay, (F.col("key") == F.col("key_")) & F.col(f"row.{doc_id}").eqNullSafe(F.col("id_"))))
     # Rows that occur once need no further shuffle; whole copies of a staying row are reduced to one.
     once = kept.where("n_ = 1").select("row")
     again = kept.where("n_ > 1").groupBy("key", "id_").agg(F.min("row").alias("row")).select("row")
-    return once.unionByName(again).select("row.*")
+    return once.unionByName(again).select("row.*").toDF(*docs.columns)
