@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, small_batches
+from .common import BoundedCache, arrow_tasks
 
 #: Fixed value: the public pattern that cuts a text into words before merging.
 WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -193,7 +193,7 @@ def load(path: str) -> Bpe:
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, ids, decoded) of every row of (doc_id, text); ids are longs, decoded the text they give."""
-    small_batches(docs.sparkSession)
+    arrow_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
@@ -208,7 +208,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, computed where the ids are made."""
-    small_batches(docs.sparkSession)
+    arrow_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BoundedCache, id_crc32, numbered, small_batches
+from .common import BoundedCache, id_crc32, numbered, arrow_tasks
 
 UNDETERMINED = "und"
 PROFILE_SIZE = 300
@@ -76,7 +76,7 @@ def _top(keys: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
 
 def profiles(labelled: DataFrame, profile_size: int = PROFILE_SIZE) -> DataFrame:
     """(lang, gram, rank): each label's ``profile_size`` most frequent n-grams over all rows of (lang, text)."""
-    small_batches(labelled.sparkSession)
+    arrow_tasks(labelled.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = BoundedCache(word_grams, CACHE_WORDS)
@@ -136,7 +136,7 @@ def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_S
 
     Columns of the input named like the two new ones are replaced.
     """
-    small_batches(docs.sparkSession)
+    arrow_tasks(docs.sparkSession)
     given = docs.drop("lang_pred", "score")
     rows, (text,) = numbered(given, "text")
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),

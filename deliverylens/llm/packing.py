@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import small_batches, written
+from .common import arrow_tasks, written
 
 SEQUENCE = 4096
 END_ID = 1
@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, vocabulary: str, cap: int = SEQUENCE, end_id: int =
 
     ``part`` and ``nth`` are that place; they mean something only once the result is written.
     """
-    small_batches(docs.sparkSession)
+    arrow_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, seen, part = load(vocabulary), defaultdict(int), TaskContext.get().partitionId()

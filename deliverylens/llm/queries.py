@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, secrets, simhash
+from . import bpe, langid, packing, secrets, simhash, site_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +34,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op9_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(_table(spark, sf_dir, "pages"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op6_simhash, op7_language_id)
+    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op6_simhash, op7_language_id,
+                              op9_site_style_tree, op10_warc)
 }
 
 #: DuckDB SQL of the operators that SQL can express.

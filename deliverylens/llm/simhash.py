@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, small_batches, written
+from .common import numbered, arrow_tasks, written
 from .components import components
 
 SEED = 42
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: Column | None = None) -
 
     ``key``: a long that travels with the row, null if not given.
     """
-    small_batches(docs.sparkSession)
+    arrow_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
