@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, secrets, simhash, site_tree, warc
+from . import bpe, langid, packing, phrases, secrets, simhash, site_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.with_next(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
 
@@ -43,7 +47,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op6_simhash, op7_language_id,
+    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op5_phrases, op6_simhash, op7_language_id,
                               op9_site_style_tree, op10_warc)
 }
 
