@@ -18,9 +18,8 @@ like any other; extra columns are not read.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,47 +28,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BoundedCache, id_crc32, numbered, arrow_tasks
+from .common import arrow_tasks, id_crc32, numbered, text_chunks
 
 UNDETERMINED = "und"
 PROFILE_SIZE = 300
-#: Entries of a task's word cache, and distinct words a task counts before it passes them on.
-CACHE_WORDS = 150_000
-_RUNS = re.compile(r"[^\W\d_]+")
+#: Characters counted at once, and distinct n-grams a task holds before it passes them on.
+SLICE = 500_000
+HELD_GRAMS = 2_000_000
 _BITS = 21  # of a code point; three of them fit one signed 64-bit key
 
 
-def word_grams(word: str) -> np.ndarray:
-    """Keys of the 1- to 3-grams of the letters of ``word``, padded with one blank (0) at both ends."""
-    if not word.isalpha():
-        parts = "".join(c if c.isalpha() else " " for c in word).split()
-        return np.concatenate([word_grams(p) for p in parts]) if parts else np.zeros(0, np.int64)
-    c = np.zeros(len(word) + 2, np.int64)
-    c[1:-1] = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-    pairs = (c[:-1] << _BITS) | c[1:]
-    triples = (pairs[:-1] << _BITS) | c[2:]
-    # A leading blank would make a short key equal to a shorter one's: mark the length above the code points.
-    return np.concatenate((c[1:-1], pairs | (1 << 62), triples | np.int64(-(1 << 63))))
-
-
-def _counts(words: Counter, grams: BoundedCache) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram keys, ascending, with their counts."""
-    parts = [grams[w] for w in words]
-    keys = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    if not len(keys):
-        return keys, np.zeros(0, np.int64)
-    weight = np.repeat(np.fromiter(words.values(), np.int64, len(parts)), [len(p) for p in parts])
-    order = np.argsort(keys)
-    keys, weight = keys[order], weight[order]
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Of each code point, itself if it is a letter, else 0."""
+    table = np.arange(0x110000, dtype=np.int64)
+    table[[not chr(c).isalpha() for c in range(0x110000)]] = 0
+    return table
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(weight, first)
+    return keys[first], np.add.reduceat(n, first)
+
+
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and counts of the 1- to 3-grams of a text's words, each padded with a blank at both ends.
+
+    A word is a run of letters. A key holds the code points, blanks as zeros,
+    and marks the length above them, as a leading blank adds nothing.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    c = np.zeros(len(points) + 3, np.int64)
+    c[1:-2] = _letters()[points]
+    found = []
+    for i in range(0, len(points) + 1, SLICE):  # grams by the place of their second character
+        a, b, d = c[i: i + SLICE], c[i + 1: i + 1 + SLICE], c[i + 2: i + 2 + SLICE]
+        a, b = a[: len(d)], b[: len(d)]
+        single = b != 0
+        pairs = a << _BITS | b  # the pair that ends the last word is the last character's with the blank after
+        triples = pairs << _BITS | d
+        keys = np.concatenate((b[single], pairs[pairs != 0] | (1 << 62), triples[single] | np.int64(-(1 << 63))))
+        if not len(keys):
+            continue
+        keys.sort()
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        found.append((keys[first], np.diff(np.append(first, len(keys)))))
+    if len(found) == 1:
+        return found[0]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _sums(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
 
 
 def _top(keys: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` most frequent keys, most frequent first, equal counts by key (``keys`` ascend)."""
-    if len(keys) > 4 * size:
-        least = np.partition(n, len(n) - size)[len(n) - size]
-        keep = n >= least
+    if len(keys) > size:
+        keep = n >= np.partition(n, len(n) - size)[len(n) - size]
         keys, n = keys[keep], n[keep]
     return keys[np.argsort(-n, kind="stable")][:size]
 
@@ -79,21 +96,30 @@ def profiles(labelled: DataFrame, profile_size: int = PROFILE_SIZE) -> DataFrame
     arrow_tasks(labelled.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = BoundedCache(word_grams, CACHE_WORDS)
-        words: dict[str, Counter] = {}
+        seen: dict[str, list] = {}
+
+        def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+            return _sums(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))
 
         def out():
-            for lang, c in words.items():
-                keys, n = _counts(c, grams)
+            for lang, parts in seen.items():
+                keys, n = merged(parts)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(keys), pa.string()),
                                                   "gram": keys, "n": n})
-            words.clear()
+            seen.clear()
 
         for b in batches:
+            texts: dict[str, list[str]] = {}
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                words.setdefault(lang, Counter()).update(_RUNS.findall(text.lower()))
-                if sum(map(len, words.values())) > CACHE_WORDS:
-                    yield from out()
+                texts.setdefault(lang, []).append(text)
+            for lang, mine in texts.items():
+                parts = seen.setdefault(lang, [])
+                for _, run in text_chunks(mine, SLICE):
+                    parts.append(gram_counts(" ".join(run)))
+                if len(parts) > 1:
+                    parts[:] = [merged(parts)]
+            if sum(len(k) for parts in seen.values() for k, _ in parts) > HELD_GRAMS:
+                yield from out()
         yield from out()
 
     rows = labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
@@ -117,10 +143,10 @@ class RankOrder:
             mine = rows[rows["lang"] == lang]
             self.ranks[i, np.searchsorted(self.keys, mine["gram"].to_numpy(np.int64))] = mine["rank"].to_numpy() - 1
 
-    def predict(self, text: str | None, grams: BoundedCache) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float]:
         if not isinstance(text, str) or not self.langs:
             return UNDETERMINED, 0.0
-        top = _top(*_counts(Counter(_RUNS.findall(text.lower())), grams), self.size)
+        top = _top(*gram_counts(text), self.size)
         if not len(top):
             return UNDETERMINED, 0.0
         at = np.minimum(np.searchsorted(self.keys, top), len(self.keys) - 1)
@@ -143,9 +169,9 @@ def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_S
                            T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, grams = RankOrder(model, profile_size), BoundedCache(word_grams, CACHE_WORDS)
+        ranks = RankOrder(model, profile_size)
         for b in batches:
-            found = [ranks.predict(t, grams) for t in b[text].to_pylist()]
+            found = [ranks.predict(t) for t in b[text].to_pylist()]
             yield (b.append_column("lang_pred", pa.array([x[0] for x in found], pa.string()))
                    .append_column("score", pa.array([x[1] for x in found], pa.float64())))
 
