@@ -24,11 +24,11 @@ are scored each; an empty table gives an empty result; extra columns are not rea
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -179,7 +179,6 @@ class Lattice:
             score = np.full((longest, rows, width + 1), _NONE)
             for k, r, c, ids in edges:
                 score[k - 1, r, c] = self.log[ids]  # by the place where it begins
-            plain = score[0].copy()
             score[0, :, :-1] = np.logaddexp(score[0, :, :-1], fall)
             beta = np.full((rows, width + 1), _NONE)
             beta[:, -1] = 0
@@ -193,16 +192,16 @@ class Lattice:
                 use = np.exp(alpha[r, c] + self.log[ids] + beta[r, c + k] - whole[r]) * n[r]
                 total += np.bincount(ids, use, len(total))
             use = np.exp(alpha[:, :-1] + fall + beta[:, 1:] - whole[:, None]) * n[:, None]
-            del plain
             for s, u in zip(spell, np.bincount(which.ravel(), use.ravel(), len(spell))):
                 np.add.at(total, s, u)
         return total
 
     def learn(self, new: Sequence[bytes]) -> None:
         """Have the words in the cache."""
-        new = [w for w in new if w not in self.cache]
+        every, new = new, [w for w in new if w not in self.cache]
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
+            new = every
         for i in range(0, len(new), BATCH_WORDS):
             part = new[i: i + BATCH_WORDS]
             self.cache.update(zip(part, self.log10([w.decode("utf-8", "surrogatepass") for w in part]).tolist()))
@@ -260,7 +259,6 @@ def fit(counts: DataFrame, ends: int, vocabulary: str, rounds: int = ROUNDS, pri
                 yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "use"])
         return run
 
-    spark = counts.sparkSession
     for _ in range(rounds):
         # One row for each piece of the vocabulary file at most.
         rows = (counts.mapInArrow(expect(now), "piece long, use double").groupBy("piece")
@@ -269,7 +267,6 @@ def fit(counts: DataFrame, ends: int, vocabulary: str, rounds: int = ROUNDS, pri
         use[rows["piece"].to_numpy(np.int64)] += rows["use"].to_numpy()
         use[pieces.end] += ends
         now = use / use.sum()
-    del spark
     return now
 
 
@@ -299,18 +296,17 @@ def score(docs: DataFrame, vocabulary: str, folds: int = 7, held: int = 2, head:
         lattice, common = Lattice(Pieces(vocabulary), probability), known.value
         for b in batches:
             counted = [Counter(words(t)) for t in b["text"].to_pylist()]
-            lattice.learn(list(dict.fromkeys(w for c in counted[:200] for w in c)))
             cols: list[list] = [[] for _ in range(5)]
             for i, c in enumerate(counted):
                 if i % 200 == 0:
                     lattice.learn(list(dict.fromkeys(w for c in counted[i: i + 200] for w in c)))
-                base, n_known, rest = np.log10((ends + 1) / whole), int(ends > 0), []
+                base, n_known, rest = math.log10((ends + 1) / whole), int(ends > 0), []
                 for w, n in c.items():
                     k = common.get(w)
                     if k is None:
                         rest.append({"word": w, "n": n})
                     else:
-                        base += n * np.log10((k + 1) / whole)
+                        base += n * math.log10((k + 1) / whole)
                         n_known += n
                 for col, v in zip(cols, (sum(c.values()) + 1, n_known, base, lattice.score(c), rest)):
                     col.append(v)

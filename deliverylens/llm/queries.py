@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, phrases, secrets, simhash, site_tree, warc
+from . import bpe, langid, lattice, nndescent, packing, phrases, secrets, simhash, site_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,6 +42,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(_table(spark, sf_dir, "documents"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.nearest_ids(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.extract(_table(spark, sf_dir, "pages"))
 
@@ -46,10 +54,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_packing, op4_bpe, op5_phrases, op6_simhash, op7_language_id,
-                              op9_site_style_tree, op10_warc)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_secrets, op2_packing, op3_subword_lattice, op4_bpe, op5_phrases, op6_simhash, op7_language_id,
+    op8_nn_descent, op9_site_style_tree, op10_warc)}
 
 #: DuckDB SQL of the operators that SQL can express.
 SQL: dict[str, str] = {}
