@@ -71,16 +71,14 @@ def array_field_ids(arr: Column, path: str = "$.id", type_: str = "string") -> C
     return F.transform(arr, lambda x: F.variant_get(x, path, type_))
 
 
+MARKUP_REGEX = r"<[^>]+>"  # fixed value: what counts as a tag
+
+
 def strip_markup(c: Column | str) -> Column:
     """Tags become one blank each, then outer blanks are trimmed. Entities and
     inner blank runs stay, as in the reference."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.trim(F.regexp_replace(c, r"<[^>]+>", " "))
-
-
-def collapse_whitespace(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, r"\s+", " ")
+    return F.trim(F.regexp_replace(c, MARKUP_REGEX, " "))
 
 
 PATH_SEPARATOR_REGEX = r"\\"  # one literal backslash

@@ -2,8 +2,7 @@
 
 Everything that is written (stream checkpoints, bronze and current tables,
 lineage cuts) goes below the folder the cluster names in
-``spark.checkpoint.dir``. A private temporary folder is created only when that
-setting is absent, which is the case in local tests.
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -24,25 +23,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
       readings identical on every executor.
     * AQE with partition coalescing and skew-join splitting on.
     * UI off: no server ports.
+
+    ``master`` and ``shuffle_partitions`` are set only when given, so that what
+    spark-submit or the cluster says holds otherwise.
     """
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    master = master or f"local[{cpus}]"
-    shuffle_partitions = shuffle_partitions or max(8, cpus * 2)
     builder = (
-        SparkSession.builder.master(master)
+        SparkSession.builder
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        .config("spark.driver.memory", os.environ.get("DELIVERYLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master:
+        builder = builder.master(master).config("spark.driver.memory",
+                                                os.environ.get("DELIVERYLENS_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     event_dir = os.environ.get("DELIVERYLENS_EVENT_LOG_DIR")
     if event_dir:  # stage and task times for profiling, read offline
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
@@ -54,14 +56,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder);
-    only when neither is set, as in tests, a private folder is made and
-    registered so ``DataFrame.checkpoint()`` works too.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Where neither is set, a local master gets a private folder, as in tests; on
+    a cluster executors would each write to their own disk, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="deliverylens-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import ISO_Z_FORMAT, MINUTE_FORMAT, floor_minute
-from .changefeed import parse_project_option  # noqa: F401  (option parsing shared with the stream source)
+from .changefeed import project_names  # noqa: F401  (option parsing shared with the stream source)
 
 MODES = ("and_both", "keyset")
 
@@ -76,7 +76,7 @@ def next_offset(read: DataFrame, start: dict, ts_col: str = "ts", id_col: str =
 
 
 def project_filter(df: DataFrame, option: str | None, project_col: str) -> DataFrame:
-    projects = parse_project_option(option)
+    projects = project_names(option)
     return df if projects is None else df.filter(F.col(project_col).isin(projects))
 
 

@@ -38,10 +38,10 @@ def test_next_offset_empty_read_keeps_start(spark):
 
 
 def test_project_option():
-    assert inc.parse_project_option(None) is None
-    assert inc.parse_project_option(" * ") is None
-    assert inc.parse_project_option("all") is None
-    assert inc.parse_project_option(" a, b ,,c") == ["a", "b", "c"]
+    assert inc.project_names(None) is None
+    assert inc.project_names(" * ") is None
+    assert inc.project_names("all") is None
+    assert inc.project_names(" a, b ,,c") == ["a", "b", "c"]
 
 
 def test_local_wall_clock_is_ambiguous_on_clock_change(spark):
