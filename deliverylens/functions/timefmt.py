@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Offset text formats and the sources' start offsets.
+# Offset text formats.
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-TIME_START_OFFSET = "2000-01-01 00:00"
-COMPOUND_START_OFFSET = {"last_update_timestamp": "2024-01-01T12:00:00Z", "last_work_item_id": 0}
 
 
 def floor_minute(c: Column | str) -> Column:

@@ -43,7 +43,7 @@ def sequence_struct(sequence: list[str | Column], tie_break: Column | None = Non
 
 
 def latest_per_key(df: DataFrame, keys: list[str], sequence: list[str | Column],
-                   method: str = "max_by", tie_break: Column | None = None) -> DataFrame:
+                   method: str = "row_number", tie_break: Column | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``sequence`` (see module doc).
 
     The output has the input's columns in the input's order.

@@ -136,6 +136,12 @@ def scd1_lineitem_row_number(spark, sf):
     return latest_lines(read_table(spark, sf, "lineitem"), method="row_number")
 
 
+def scd1_ties(spark, sf):
+    """A sequence with ties, settled by further columns of the row."""
+    return latest_per_key(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"],
+                          tie_break=F.struct("l_partkey", "l_suppkey", "l_extendedprice"))
+
+
 def scd1_events_latest(spark, sf):
     return latest_per_key(_events(spark, sf), EVENT_KEYS, EVENT_SEQUENCE)
 
@@ -279,15 +285,13 @@ def releases_latest_name(spark, sf):
 
 
 def silver_issues_current(spark, sf):
-    p = parse_issues(client_issues_bronze(spark, sf, as_of=AS_OF))
-    cur = latest_per_key(p, refresh.ISSUE_KEYS, refresh.ISSUE_SEQUENCE)
+    cur = refresh.current_issues(spark, sf, AS_OF)
     cur = cur.withColumn("fix_versions", F.transform("fix_versions", lambda x: F.variant_get(x, "$.name", "string")))
     return _arrays_as_text(cur)
 
 
 def silver_stories_current(spark, sf):
-    p = parse_stories(internal_stories_bronze(spark, sf, as_of=AS_OF), keep_payload=False)
-    return latest_per_key(p, refresh.STORY_KEYS, refresh.FEED_STORY_SEQUENCE)
+    return refresh.current_stories(spark, sf, AS_OF).drop("raw_data")
 
 
 def stored_variant_paths(spark, sf):
@@ -304,8 +308,8 @@ def stored_variant_paths(spark, sf):
 
 def gold_views_written(spark, sf):
     out = scratch_path(spark, "gold")
-    refresh.write_gold(spark, sf, out, as_of=AS_OF)
-    return spark.read.parquet(f"{out}/releases")
+    refresh.write_gold(*refresh.current_tables(spark, sf, AS_OF), out, as_of=AS_OF)
+    return refresh.read_gold(spark, out, "releases")
 
 
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -325,6 +329,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd1_lineitem_max_by": scd1_lineitem_max_by,
     "scd1_lineitem_row_number": scd1_lineitem_row_number,
     "scd1_events_latest": scd1_events_latest,
+    "scd1_ties": scd1_ties,
     "slice_time_inclusive": slice_time_inclusive,
     "slice_and_both": slice_and_both,
     "slice_keyset": slice_keyset,

@@ -222,6 +222,21 @@ SQL: dict[str, str] = {
     "scd1_lineitem_max_by": "WITH " + LATEST_LINES + " SELECT * FROM latest_lines",
     "scd1_lineitem_row_number": "WITH " + LATEST_LINES + " SELECT * FROM latest_lines",
     "scd1_events_latest": EVENTS_LATEST,
+    "scd1_two_queries_one_table": EVENTS_LATEST,
+    "scd1_backfill_new_checkpoint": EVENTS_LATEST,
+    "scd1_ties": """
+      SELECT * EXCLUDE (rn) FROM (
+        SELECT l.*, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+          ORDER BY l_shipdate DESC, struct_pack(a := l_partkey, b := l_suppkey, c := l_extendedprice) DESC) AS rn
+        FROM lineitem l) WHERE rn = 1""",
+    "source_issue_feed": "WITH " + CLIENT + f"""
+      SELECT CAST(k AS VARCHAR) AS jira_internal_id, project_key AS project, jira_id AS key, jira_name AS summary,
+        issue_type, strftime(created, '%Y-%m-%dT%H:%M:%S.%g') || '+0000' AS updated,
+        {_q(CLIENT_HOST + '/browse/')} || jira_id AS url, jira_id AS payload_key, true AS stamped
+      FROM issues""",
+    "source_story_feed": "WITH " + ",".join([PATHS, STORY_ROWS.replace("{lines}", "lineitem")]) + f"""
+      SELECT 'internal' AS org, 'Delivery' AS project, id, CAST(rev AS VARCHAR) AS rev, title,
+        {_q(INTERNAL_HOST + '/_workitems/edit/')} || id AS url, true AS stamped FROM story_rows""",
     "slice_time_inclusive": f"SELECT * FROM events WHERE ts >= {_ts(c.TIME_START)}",
     "slice_and_both": f"SELECT * FROM events WHERE ts >= {T0} AND event_id > {ID0}",
     "slice_keyset": f"SELECT * FROM events WHERE ts > {T0} OR (ts = {T0} AND event_id > {ID0})",

@@ -1,8 +1,9 @@
-"""Batch refresh: bronze -> silver -> current -> gold, as one lazy plan per table.
+"""Batch refresh: bronze -> silver -> current -> gold.
 
-Nothing here collects: every function returns a DataFrame, and a caller that
-writes several of them can cut lineage by writing the current tables below
-``spark.checkpoint.dir`` (see :func:`materialise`).
+``latest_issues``, ``latest_stories`` and ``write_gold`` take tables; the
+functions with ``sf_dir`` call them on the feeds derived from the driver's
+tables. Those write the two current tables below ``spark.checkpoint.dir``
+before they return (see :func:`materialise`); nothing is collected.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from ..operators.gold import ROLLUP_INPUT, STORY_SIDE, map_items, release_rollup
 from ..operators.scd import latest_per_key
 from ..operators.silver import PAYLOAD_HASH, parse_issues, parse_stories
 from ..session import scratch_path
+from ..sources import versions
 from ..sources.tables import client_issues_bronze, internal_stories_bronze
 
 # Keys and sequences of the two change flows. The issue flow is the
@@ -35,22 +37,27 @@ GOLD_ISSUE_COLUMNS = [
 GOLD_STORY_COLUMNS = sorted({src for _, src in STORY_SIDE} | {"client_id", "changed_date", "extraction_timestamp"})
 
 
-def current_issues(spark: SparkSession, sf_dir: str, as_of: str | None = None,
-                   method: str = "max_by", columns: list[str] | None = None,
-                   tie_break: bool = True) -> DataFrame:
-    """Latest parsed issue per key. ``tie_break`` adds the payload hash as the
-    last sequence field (equal sequences resolve deterministically)."""
-    parsed = parse_issues(client_issues_bronze(spark, sf_dir, as_of=as_of), with_hash=tie_break)
-    return _latest(parsed, ISSUE_KEYS, ISSUE_SEQUENCE, method, columns, tie_break)
+def latest_issues(bronze: DataFrame, method: str = "row_number", columns: list[str] | None = None,
+                  tie_break: bool = True) -> DataFrame:
+    """Latest parsed issue per key of a bronze table. ``tie_break`` adds the payload
+    hash as the last sequence field (equal sequences resolve deterministically)."""
+    return _latest(parse_issues(bronze, with_hash=tie_break), ISSUE_KEYS, ISSUE_SEQUENCE, method, columns, tie_break)
 
 
-def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None,
-                    method: str = "max_by", columns: list[str] | None = None,
-                    tie_break: bool = True) -> DataFrame:
+def latest_stories(bronze: DataFrame, method: str = "row_number", columns: list[str] | None = None,
+                   tie_break: bool = True, sequence: list[str] | None = None) -> DataFrame:
+    """Latest parsed story per key of a bronze table, by the tracker's own sequence unless another is given."""
+    parsed = parse_stories(bronze, keep_payload=columns is None, with_hash=tie_break)
+    return _latest(parsed, STORY_KEYS, sequence or STORY_SEQUENCE, method, columns, tie_break)
+
+
+def current_issues(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwargs) -> DataFrame:
+    return latest_issues(client_issues_bronze(spark, sf_dir, as_of=as_of), **kwargs)
+
+
+def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwargs) -> DataFrame:
     """All line-item revisions parsed, then reduced to the latest per story."""
-    parsed = parse_stories(internal_stories_bronze(spark, sf_dir, as_of=as_of), keep_payload=columns is None,
-                           with_hash=tie_break)
-    return _latest(parsed, STORY_KEYS, FEED_STORY_SEQUENCE, method, columns, tie_break)
+    return latest_stories(internal_stories_bronze(spark, sf_dir, as_of=as_of), sequence=FEED_STORY_SEQUENCE, **kwargs)
 
 
 def _latest(parsed: DataFrame, keys: list[str], sequence: list[str], method: str,
@@ -90,22 +97,30 @@ def releases(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwarg
     return release_rollup(mapped(spark, sf_dir, as_of, columns=ROLLUP_INPUT), as_of=as_of, **kwargs)
 
 
-def write_gold(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str | None = None):
-    """Materialised gold views, overwritten on every run: the 42-column mapping
-    (warn rule observed while it is written) and the 17-column releases table
-    (fail rule and NOT NULL checked inline, so a broken row aborts the write
-    before anything is committed). Returns the warn observation."""
+def write_gold(issues: DataFrame, stories: DataFrame, out_dir: str, as_of: str | None = None):
+    """Materialise the gold views of two current tables (read by name or path,
+    ``spark.table(...)``): the 42-column mapping (warn rule observed while it is
+    written) and the 17-column releases table (fail rule and NOT NULL checked
+    inline). Each is written as a new version below ``out_dir``, so a row that
+    breaks a rule stops its write and leaves the last good version in place;
+    read them with :func:`read_gold`. Returns the warn observation."""
     from ..operators import gold, quality
 
-    mapped_df = quality.enforce_schema(mapped(spark, sf_dir, as_of), gold.MAPPED_ITEMS_DDL)
+    spark = issues.sparkSession
+    mapped_df = quality.enforce_schema(map_items(issues, stories), gold.MAPPED_ITEMS_DDL)
     mapped_df, warn = quality.with_warn_rules(mapped_df, [gold.MAPPING_WARN_RULE], "mapped_items")
-    mapped_df.write.mode("overwrite").parquet(f"{out_dir}/mapped_items")
-    rel = release_rollup(spark.read.parquet(f"{out_dir}/mapped_items"), as_of=as_of, order=False)
+    versions.publish(mapped_df, f"{out_dir}/mapped_items")
+    rel = release_rollup(read_gold(spark, out_dir, "mapped_items"), as_of=as_of, order=False)
     rel = quality.enforce_schema(quality.with_fail_rules(rel, [gold.RELEASE_FAIL_RULE]), gold.RELEASES_DDL)
-    rel.write.mode("overwrite").parquet(f"{out_dir}/releases")
+    versions.publish(rel, f"{out_dir}/releases")
     return warn
 
 
+def read_gold(spark: SparkSession, out_dir: str, view: str) -> DataFrame | None:
+    """The last good version of a gold view, None before the first."""
+    return versions.current(spark, f"{out_dir}/{view}")
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: cuts
     lineage and survives executor loss (unlike a local checkpoint)."""

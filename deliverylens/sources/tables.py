@@ -204,7 +204,7 @@ def internal_story_columns(lines: DataFrame, paths: DataFrame) -> DataFrame:
     )
 
 
-def latest_lines(lineitem: DataFrame, method: str = "max_by") -> DataFrame:
+def latest_lines(lineitem: DataFrame, method: str = "row_number") -> DataFrame:
     """Latest ``lineitem`` row per (orderkey, linenumber) by (shipdate, partkey,
     suppkey, extendedprice), a total order within every key."""
     from ..operators.scd import latest_per_key
@@ -212,15 +212,10 @@ def latest_lines(lineitem: DataFrame, method: str = "max_by") -> DataFrame:
                           ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"], method=method)
 
 
-def internal_stories_bronze(spark: SparkSession, sf_dir: str, latest_only: bool = False,
-                            as_of: str | None = None) -> DataFrame:
+def internal_stories_bronze(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """Bronze stories: ``org, project, id, rev, title, url, raw_data`` (STRING) +
-    ``extraction_timestamp``. With ``latest_only`` the line items are reduced
-    to their latest revision first (what the fixture calls ``internal_items``)."""
-    lines = read_table(spark, sf_dir, "lineitem", spread_out=not latest_only)
-    if latest_only:
-        lines = latest_lines(lines)
-    flat = internal_story_columns(lines, area_paths(spark, sf_dir))
+    ``extraction_timestamp``."""
+    flat = internal_story_columns(read_table(spark, sf_dir, "lineitem", spread_out=True), area_paths(spark, sf_dir))
     url = F.concat(F.lit(f"{INTERNAL_HOST}/_workitems/edit/"), F.col("id"))
     fields = F.struct(
         F.lit("User Story").alias("System.WorkItemType"),

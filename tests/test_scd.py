@@ -62,7 +62,7 @@ def test_keyed_table_late_rows_ignored(spark):
     assert table.upsert(spark.createDataFrame([("a", 2, 0, "late")], SCHEMA), 1)
     assert not table.upsert(spark.createDataFrame([("a", 9, 0, "replayed id")], SCHEMA), 1)
     assert [r.v for r in table.read().collect()] == ["new"]
-    assert table.last_committed_batch() == 1
+    assert table.last_batch() == 1
     random.seed(0)
 
 
@@ -75,7 +75,7 @@ def test_keyed_table_writes_one_file_per_touched_bucket(spark):
                        ["k"], ["seq", "stamp"], buckets=4)
     table.upsert(spark.createDataFrame(rows, SCHEMA).repartition(8), 0)
     root = table.root.replace("file:", "")
-    folders = sorted(glob.glob(os.path.join(root, "data", "v=0", "_bucket=*")))
+    folders = sorted(glob.glob(os.path.join(root, "data", "version=0", "_bucket=*")))
     assert len(folders) == 4
     for f in folders:
         assert len(glob.glob(os.path.join(f, "*.parquet"))) == 1
