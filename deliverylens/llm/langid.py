@@ -48,6 +48,8 @@ def _letters() -> np.ndarray:
 
 def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with the sums of their counts."""
+    if not len(keys):
+        return keys, n
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))

@@ -1,0 +1,228 @@
+"""Operators over whole tables: near-duplicates, neighbours, pages, archives, the pipeline."""
+
+import hashlib
+import html
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from deliverylens.llm import nndescent, simhash, site_tree, warc
+from deliverylens.llm.components import components
+from deliverylens.llm.common import shared_path
+
+from conftest import SF_SMALL
+from hard_cases import hard_docs, hard_texts, no_docs  # noqa: F401
+
+
+def _components(n, pairs):
+    up = list(range(n))
+
+    def top(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+    for i, j in pairs:
+        i, j = top(int(i)), top(int(j))
+        up[max(i, j)] = min(i, j)
+    return [top(i) for i in range(n)]
+
+
+# ---------------------------------------------------------------- SimHash
+
+def _simhash(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i: i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+@pytest.mark.parametrize("bits", [40, 14, 9])
+def test_vantage_point_trees_connect_what_brute_force_connects(bits):
+    r = np.random.default_rng(bits)
+    base = r.integers(0, 2 ** bits, 1500, dtype=np.uint64)
+    x = np.unique(np.concatenate([base, base[:400] ^ np.uint64(3), base[:300] ^ np.uint64(7)]))
+    pairs = np.argwhere(np.triu(np.bitwise_count(x[:, None] ^ x[None]) <= 3, 1))
+    want = _components(len(x), pairs)
+    assert _components(len(x), zip(*simhash.linked(x, 3))) == want
+    nodes = simhash.build_top(x[::3], 8, 3)
+    rows, shards = simhash.place(x, nodes, 3)
+    found = []
+    for s in np.unique(shards):
+        who = rows[shards == s]
+        a, b = simhash.linked(x[who], 3)
+        found += zip(who[a], who[b])
+    assert _components(len(x), found) == want
+
+
+def test_near_duplicates_equal_brute_force(spark, hard_docs, no_docs):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = docs.collect()
+    fps = np.array([_simhash(r.text) for r in rows], np.uint64)
+    pairs = np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None]) <= 3, 1))
+    part = _components(len(rows), pairs)
+    least = {}
+    for k, p in enumerate(part):
+        least[p] = min(least.get(p, rows[k].doc_id), rows[k].doc_id)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {r.doc_id: (f"{int(f):016x}", least[p]) for r, f, p in zip(rows, fps, part)}
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
+    hard = simhash.near_duplicates(hard_docs).collect()
+    assert len(hard) == hard_docs.count()
+    assert {r.component_id for r in hard if r.doc_id in (0, 1, 2)} == {0}
+    assert [r.component_id for r in hard if r.doc_id is None] == [None]
+    left = simhash.keep_one(hard_docs).collect()
+    assert sorted(r.doc_id for r in left if r.doc_id is not None) == sorted({r.component_id for r in hard} - {None})
+    assert sum(r.doc_id is None for r in left) == 1
+
+
+def test_links_of_a_shard_dealt_in_blocks(spark):
+    r = np.random.default_rng(0)
+    x = np.unique(r.integers(0, 2 ** 12, 900, dtype=np.int64))
+    fps = spark.createDataFrame([(int(v),) for v in x], "fp long")
+    found = simhash.links(fps, 2, shard_target=10 ** 6, shard_limit=100).collect()
+    u = x.view(np.uint64)
+    at = {int(v): i for i, v in enumerate(x)}
+    want = _components(len(x), np.argwhere(np.triu(np.bitwise_count(u[:, None] ^ u[None]) <= 2, 1)))
+    assert _components(len(x), [(at[p.a], at[p.b]) for p in found]) == want
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(100, 140)] + [(7, j) for j in range(8, 60)] + [(3, 3)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == {**{i: 100 for i in range(101, 141)}, **{j: 7 for j in range(8, 60)}}
+
+
+# ---------------------------------------------------------------- neighbours
+
+def test_neighbours(spark):
+    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    rows = table.collect()
+    x = np.array([r.embedding for r in rows], float)
+    ids = np.array([r.vec_id for r in rows])
+    got = {}
+    for r in nndescent.nearest_ids(table, every=10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = 0
+    for i in np.flatnonzero(ids % 10 == 0):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        best = [j for j in np.lexsort((ids, d)) if j != i][:10]
+        mine = sorted(got[ids[i]])
+        assert [m[0] for m in mine] == list(range(1, len(best) + 1))
+        assert all(abs(d[np.flatnonzero(ids == v)[0]] - s) < 1e-12 for _, v, s in mine)
+        hits += len({m[1] for m in mine} & set(ids[best])) / len(best)
+    assert hits / len(got) >= 0.95
+
+
+def test_neighbours_of_hard_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]),
+            (6, [1.0, None]), (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (None, [1.0, 1.0]), (100, [1.0]),
+            (9, [4.0, 4.0]), (200, [0.0, 0.0]), (300, [5.0, 4.0])]
+    table = spark.createDataFrame([(*r, 1, "n") for r in rows], "vec_id long, embedding array<double>, rank int, node string")
+    got = {}
+    for r in nndescent.nearest_ids(table, every=100, k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {0: [(1, 0.0), (2, 0.0), (100, 0.0)], 100: [(0, 0.0), (1, 0.0), (2, 0.0)],
+                   300: [(9, 1.0), (0, 32 ** 0.5), (1, 32 ** 0.5)]}
+    assert nndescent.nearest_ids(table.limit(0)).count() == 0
+    assert nndescent.nearest_ids(table.where("vec_id = 300")).count() == 0
+
+
+# ---------------------------------------------------------------- pages
+
+def test_main_text_of_the_tables_pages(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    got = {r.page_id: r for r in site_tree.extract(pages).collect()}
+    assert len(got) == pages.count()
+    for p in pages.collect():
+        inside = re.search(r"<article>(.*?)(</article>|$)", p.html, re.S)[1]
+        inside = re.sub(r"<(?!/?[a-zA-Z])", "&lt;", re.sub(r"<[/!?a-zA-Z][^<>]*\Z", "", inside))
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>?", "", b))).strip()
+                  for b in re.split(r"</?(?:p|h1)>", inside)]
+        assert got[p.page_id].text == "\n".join(b for b in blocks if b)
+        assert got[p.page_id].n_chars == len(got[p.page_id].text) and got[p.page_id].url == p.url
+
+
+def test_structure_names_what_is_not_main_text():
+    page = """<html><body><header><h1>Site</h1></header><div class="cookie-notice">Cookies</div><ul class=menu><li>a<li>b</ul>
+      <main><article><header><h1>T &amp; U</h1></header><p>one <b>two</b><br>three<p>four<div class="ad-box">AD</div>
+      <ul><li>x<li>y</ul><script>if(a<b)</script><section class="comments"><p>nice</p></section></article></main>
+      <aside>z</aside><footer>f</footer></body></html>"""
+    assert [b[0] for b in site_tree.page(page)[0]] == ["T & U", "one two three", "four", "x", "y"]
+    assert site_tree.page(None) == ([], []) and site_tree.page("<p>abc <art")[0][0][0] == "abc"
+
+
+def test_template_of_a_host_is_found_by_what_its_pages_share(spark):
+    body = "<div class=q1>All offers of the week</div><div class=q2><p>Text {n} is the only one</p><p>more of {n}</p></div><div class=q3>Made in {k}</div>"
+    rows = [(n, f"http://h.example/{n}", body.format(n=f"page {n} " * 5, k="AB"[n % 2])) for n in range(40)]
+    rows += [(100 + n, "http://h.example/copy", rows[0][2]) for n in range(60)]  # copies of a page are not template
+    rows += [(200, None, "<p>alone &eacute; </p>"), (201, "http://[bad", None), (202, "http://h.example/e", "")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string")
+    got = {r.page_id: r.text for r in site_tree.extract(pages).collect()}
+    assert all(got[n] == f"Text {('page %d ' % n) * 5}is the only one\nmore of {('page %d ' % n) * 5}".strip()
+               .replace("  ", " ") for n in range(40))
+    assert got[100] == got[0] and got[200] == "alone é" and got[201] == got[202] == ""
+    assert site_tree.extract(pages.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- archives
+
+def _member(i, payload, revisit=None):
+    return warc.record(i, "http://x/é\r\nq", payload, hashlib.sha1(payload).hexdigest(), len(payload), revisit)
+
+
+@pytest.mark.parametrize("split", [700, 50_001, 1 << 30])
+def test_ranges_own_the_records_that_start_in_them(tmp_path, split):
+    r = np.random.default_rng(1)
+    payloads = [r.bytes(int(r.choice([0, 10, 3000, 20_000]))) + b"\x1f\x8b\x08" * (i % 7) for i in range(120)]
+    place = tmp_path / "a.warc.gz"
+    place.write_bytes(b"".join(_member(i, p, (i + 1,) if i % 5 == 0 else None) for i, p in enumerate(payloads)))
+    import pyarrow.fs
+    with pyarrow.fs.LocalFileSystem().open_input_file(str(place)) as f:
+        rows = [x for s in range(0, f.size(), split) for x in warc.records_in(f, s, min(s + split, f.size()))]
+    assert [(x["page_id"], x["payload_bytes"], x["payload_digest"], x["refers_to"]) for x in rows] == [
+        (i, len(p), hashlib.sha1(p).hexdigest(), i + 1 if i % 5 == 0 else None) for i, p in enumerate(payloads)]
+    assert all(x["payload"] == p for x, p in zip(rows, payloads) if x["record_type"] == "response")
+
+
+def test_archives_round_trip(spark):
+    big, other = "é" * 600, "z" * 1500
+    rows = [(1, "u", big), (2, "u", big), (3, "v", big), (4, "u", "small"), (5, "u", "small"), (6, None, None), (7, "u", ""),
+            (None, "n", big), (9, "w", other), (9, "w", other), (9, "w", other), (None, "n", "y" * 1000)]
+    pages = spark.createDataFrame([(*r, "d") for r in rows], "page_id long, url string, html string, digest string")
+    manifest = warc.write(pages, shared_path(spark, "test-warc"))
+    got = warc.read(spark, manifest, split=300).collect()
+    size = {big: 1200, other: 1500}
+    want = []
+    for page_id, _, text in rows:
+        payload = (text or "").encode()
+        keeper = {big: 3, other: 9}.get(text)
+        revisit = keeper is not None and (page_id != keeper or any(w[0] == page_id == 9 for w in want))
+        want.append((page_id, size.get(text, len(payload)), hashlib.sha1(payload).hexdigest(),
+                     "revisit" if revisit else "response", keeper if revisit else None))
+    found = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    assert {bytes(r.payload) for r in got if r.record_type == "response"} == {(t or "").encode() for _, _, t in rows}
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- pipeline
+
+def test_pipeline_keeps_the_contract_of_its_stages(spark, hard_docs):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "secret_scan", "best_fit_packing"]
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, SF_SMALL)
+        assert after.dtypes == docs.dtypes, name
+        kept = after
+    packed = corpus_pipeline.run(spark, SF_SMALL)
+    ids = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
+    groups = simhash.near_duplicates(docs.where("text rlike '[a-zA-Z]'"), 3, 3)
+    assert ids == {r.component_id for r in groups.select("component_id").distinct().collect()}
