@@ -184,6 +184,13 @@ def slice_local_zone_safe(spark, sf):
     return e.select("event_id", "ts", safe_local_start("ts", LOCAL_ZONE).alias("safe_local_minute"))
 
 
+def local_zone_clock_change(spark, sf):
+    """The feed moved into the autumn, so that it runs over the hour that the zone repeats."""
+    e = _events(spark, sf).withColumn("ts", F.expr("ts + INTERVAL 285 DAYS"))
+    return e.select("event_id", "ts", utc_to_local_wall_clock("ts", LOCAL_ZONE).alias("local_minute"),
+                    safe_local_start("ts", LOCAL_ZONE).alias("safe_local_minute"))
+
+
 def project_list_filter(spark, sf):
     e = inc.project_filter(_events(spark, sf), PROJECT_OPTION, "event_type")
     return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("max_event_id"))
@@ -338,6 +345,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_offset_minute": next_offset_minute,
     "slice_local_zone": slice_local_zone,
     "slice_local_zone_safe": slice_local_zone_safe,
+    "local_zone_clock_change": local_zone_clock_change,
     "project_list_filter": project_list_filter,
     "type_filter_slice": type_filter_slice,
     "id_chunks": id_chunks,

@@ -54,7 +54,12 @@ issues AS (
     [lower(o.o_orderstatus)] AS labels,
     strftime(o.o_orderdate, '%Y-%m-%d') AS start_date,
     o.o_orderdate AS created,
-    CASE WHEN o.o_orderkey % 12 = 9 THEN 'Done' END AS resolution
+    CASE WHEN o.o_orderkey % 12 = 9 THEN 'Done' END AS resolution,
+    CASE o.o_orderkey % 6 WHEN 1 THEN NULL WHEN 0 THEN '{{"text":"Order ' || o.o_orderkey || '","type":"doc"}}'
+         ELSE 'Note <b>' || o.o_orderkey || '</b>' END AS description,
+    CASE WHEN o.o_orderkey % 7 <> 0 THEN 'Person ' || o.o_orderkey % 50 END AS assignee,
+    CASE WHEN o.o_orderkey % 9 <> 0 THEN strftime(o.o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') END AS due_date,
+    CASE WHEN o.o_orderkey % 5 = 2 THEN o.o_orderdate + INTERVAL 1 DAY ELSE o.o_orderdate END AS updated
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
@@ -88,18 +93,32 @@ story_rows AS (
     CASE WHEN l_quantity > 40 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS story_points,
     p.area_path,
     'Delivery\' || year(l_shipdate) || '\S' || month(l_shipdate) AS iteration_path,
-    l_returnflag || '; ' || l_linestatus AS tags,
+    CASE l_linenumber WHEN 2 THEN NULL WHEN 6 THEN '  ' ELSE l_returnflag || '; ' || l_linestatus END AS tags,
     CAST(l_linenumber % 4 + 1 AS INTEGER) AS priority,
     CAST(l_orderkey AS VARCHAR) AS parent_id,
     l_shipdate AS changed_date,
     'User Story' AS work_item_type,
-    'Delivery' AS project
+    'Delivery' AS project,
+    CASE WHEN l_linenumber % 2 = 0 THEN 'Moved' END AS reason,
+    l_shipdate - INTERVAL 10 DAY AS created_date,
+    'Author ' || l_suppkey % 10 AS created_by, 'Editor ' || l_partkey % 10 AS changed_by,
+    CASE WHEN l_linenumber <> 5 THEN 'Dev ' || l_suppkey % 7 END AS assigned_to,
+    '<p>Line <b>' || l_orderkey || '-' || l_linenumber || '</b></p>' AS description_html,
+    CASE WHEN l_linenumber <> 4 THEN '<ul><li>' || CAST(l_quantity AS INTEGER) || '</li></ul>' END AS acceptance_criteria_html,
+    l_linenumber = 6 AS board_column_done,
+    l_shipdate - INTERVAL 1 DAY AS state_change_date,
+    CASE WHEN l_returnflag <> 'N' THEN l_shipdate - INTERVAL 5 DAY END AS activated_date,
+    CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS closed_date,
+    'TT-' || l_suppkey % 5 AS time_tracking_project,
+    CASE WHEN l_linenumber % 3 <> 0 THEN CAST(l_partkey % 100 AS VARCHAR) END AS time_tracking_product_id
   FROM {{lines}} LEFT JOIN paths p ON l_suppkey = p.s_suppkey
 )"""
 
 STORIES = rf"""
 stories AS (
-  SELECT *, string_split(area_path, '\')[-1] AS client, string_split(iteration_path, '\')[-1] AS sprint_name,
+  SELECT *, trim(regexp_replace(description_html, '<[^>]+>', ' ', 'g')) AS description,
+    trim(regexp_replace(acceptance_criteria_html, '<[^>]+>', ' ', 'g')) AS acceptance_criteria,
+    string_split(area_path, '\')[-1] AS client, string_split(iteration_path, '\')[-1] AS sprint_name,
     coalesce(trim(state) IN ('Closed', 'Done', 'Removed'), false) AS is_closed,
     parent_id IS NOT NULL AS has_parent,
     coalesce(tags IS NOT NULL AND trim(tags) <> '', false) AS has_tags
@@ -111,22 +130,22 @@ ALL_REVISIONS = "WITH " + ",".join([PATHS, STORY_ROWS.replace("{lines}", "lineit
 
 MAPPED_SELECT = f"""
   SELECT i.jira_id, i.jira_name, i.project_name AS jira_project_name, i.issue_type AS jira_issue_type,
-    i.status AS jira_status, CAST(NULL AS VARCHAR) AS jira_description, i.reporter AS jira_reporter,
-    CAST(NULL AS VARCHAR) AS jira_assignee, i.priority AS jira_priority, i.story_points AS jira_story_points,
+    i.status AS jira_status, i.description AS jira_description, i.reporter AS jira_reporter,
+    i.assignee AS jira_assignee, i.priority AS jira_priority, i.story_points AS jira_story_points,
     i.parent_jira_id AS jira_parent_id, {_arr('i.release_names')} AS jira_fix_versions,
     {_arr('i.release_ids')} AS release_ids, {_arr('i.labels')} AS jira_labels,
-    i.start_date AS jira_start_date, CAST(NULL AS VARCHAR) AS jira_due_date,
-    i.created AS jira_created_date, i.created AS jira_updated_date, i.resolution AS jira_resolution,
+    i.start_date AS jira_start_date, i.due_date AS jira_due_date,
+    i.created AS jira_created_date, i.updated AS jira_updated_date, i.resolution AS jira_resolution,
     {_q(CLIENT_HOST + '/browse/')} || i.jira_id AS jira_url,
     coalesce(trim(i.status) IN ('Closed', 'Done', 'Resolved'), false) AS jira_is_closed,
     s.id AS ado_story_id, s.parent_id AS ado_parent_id, s.story_points AS ado_story_points,
-    s.rev AS ado_revision, s.title AS ado_name, CAST(NULL AS VARCHAR) AS ado_description,
-    CAST(NULL AS VARCHAR) AS ado_acceptance_criteria, s.board_column AS ado_board_column,
-    CAST(NULL AS BOOLEAN) AS ado_board_done, s.priority AS ado_priority, s.project AS ado_project,
-    s.state AS ado_status, s.is_closed AS ado_is_closed, CAST(NULL AS VARCHAR) AS ado_reason,
+    s.rev AS ado_revision, s.title AS ado_name, s.description AS ado_description,
+    s.acceptance_criteria AS ado_acceptance_criteria, s.board_column AS ado_board_column,
+    s.board_column_done AS ado_board_done, s.priority AS ado_priority, s.project AS ado_project,
+    s.state AS ado_status, s.is_closed AS ado_is_closed, s.reason AS ado_reason,
     s.iteration_path AS ado_iteration, s.tags AS ado_tags, s.area_path AS internal_area,
     s.client AS internal_client, s.sprint_name AS sprint_name,
-    CAST(NULL AS VARCHAR) AS time_tracking_project, CAST(NULL AS VARCHAR) AS time_tracking_product_id"""
+    s.time_tracking_project, s.time_tracking_product_id"""
 
 
 def _mapped_cte(story_filter: str = "state <> 'Removed'") -> str:
@@ -231,7 +250,7 @@ SQL: dict[str, str] = {
         FROM lineitem l) WHERE rn = 1""",
     "source_issue_feed": "WITH " + CLIENT + f"""
       SELECT CAST(k AS VARCHAR) AS jira_internal_id, project_key AS project, jira_id AS key, jira_name AS summary,
-        issue_type, strftime(created, '%Y-%m-%dT%H:%M:%S.%g') || '+0000' AS updated,
+        issue_type, strftime(updated, '%Y-%m-%dT%H:%M:%S.%g') || '+0000' AS updated,
         {_q(CLIENT_HOST + '/browse/')} || jira_id AS url, jira_id AS payload_key, true AS stamped
       FROM issues""",
     "source_story_feed": "WITH " + ",".join([PATHS, STORY_ROWS.replace("{lines}", "lineitem")]) + f"""
@@ -260,6 +279,14 @@ SQL: dict[str, str] = {
                    timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts - INTERVAL 1 HOUR)) AS b,
                    timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts + INTERVAL 1 HOUR)) AS a
             FROM events WHERE ts >= {_ts(c.TIME_START)})""",
+    "local_zone_clock_change": f"""
+      SELECT event_id, ts, strftime(l, '%Y-%m-%d %H:%M') AS local_minute,
+        strftime(CASE WHEN epoch(l) - epoch(b) < 3600 OR epoch(a) - epoch(l) < 3600 THEN b ELSE l END,
+                 '%Y-%m-%d %H:%M') AS safe_local_minute
+      FROM (SELECT event_id, ts, timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts)) AS l,
+                   timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts - INTERVAL 1 HOUR)) AS b,
+                   timezone({_q(c.LOCAL_ZONE)}, timezone('UTC', ts + INTERVAL 1 HOUR)) AS a
+            FROM (SELECT event_id, ts + INTERVAL 285 DAY AS ts FROM events))""",
     "project_list_filter": """
       SELECT event_type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS max_event_id FROM events
       WHERE event_type IN ('view', 'click', 'purchase') GROUP BY event_type""",
@@ -272,7 +299,7 @@ SQL: dict[str, str] = {
       FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
     "envelope_json": "WITH " + CLIENT + f"""
       SELECT CAST(k AS VARCHAR) AS jira_internal_id, project_key AS project, jira_id AS key, jira_name AS summary,
-        issue_type, strftime(created, '%Y-%m-%dT%H:%M:%S.%g') || '+0000' AS updated,
+        issue_type, strftime(updated, '%Y-%m-%dT%H:%M:%S.%g') || '+0000' AS updated,
         {_q(CLIENT_HOST + '/browse/')} || jira_id AS url, {_ts(c.AS_OF)} AS extraction_timestamp,
         jira_id AS payload_key, status AS payload_status, CAST(story_points AS VARCHAR) AS payload_points
       FROM issues""",
@@ -321,25 +348,25 @@ agg AS (
 SELECT * FROM agg""",
     "silver_issues_current": "WITH " + CLIENT + f"""
       SELECT CAST(k AS VARCHAR) AS jira_internal_id, jira_id, jira_name, project_key, project_name, issue_type,
-        status, CAST(NULL AS VARCHAR) AS description, reporter, CAST(NULL AS VARCHAR) AS assignee, priority,
+        status, description, reporter, assignee, priority,
         story_points, parent_jira_id, {_arr('release_names')} AS fix_versions, {_arr('release_ids')} AS fix_version_ids,
-        {_arr('labels')} AS labels, start_date, CAST(NULL AS VARCHAR) AS due_date, created AS created_date,
-        created AS updated_date, resolution, {_q(CLIENT_HOST + '/browse/')} || jira_id AS url,
+        {_arr('labels')} AS labels, start_date, due_date, created AS created_date,
+        updated AS updated_date, resolution, {_q(CLIENT_HOST + '/browse/')} || jira_id AS url,
         {_ts(c.AS_OF)} AS extraction_timestamp,
         coalesce(trim(status) IN ('Closed', 'Done', 'Resolved'), false) AS is_closed,
         parent_jira_id IS NOT NULL AS has_parent
       FROM issues""",
     "silver_stories_current": BASE + rf"""
       SELECT id, rev, title, {_q(INTERNAL_HOST + '/_workitems/edit/')} || id AS url, 'internal' AS org, project,
-        work_item_type, state, CAST(NULL AS VARCHAR) AS reason, area_path, iteration_path,
-        CAST(NULL AS TIMESTAMP) AS created_date, changed_date, CAST(NULL AS VARCHAR) AS created_by,
-        CAST(NULL AS VARCHAR) AS changed_by, CAST(NULL AS VARCHAR) AS assigned_to, parent_id, tags,
-        CAST(NULL AS VARCHAR) AS description_html, CAST(NULL AS VARCHAR) AS acceptance_criteria_html,
-        board_column, CAST(NULL AS BOOLEAN) AS board_column_done, priority, story_points,
-        CAST(NULL AS TIMESTAMP) AS state_change_date, CAST(NULL AS TIMESTAMP) AS activated_date,
-        CAST(NULL AS TIMESTAMP) AS closed_date, CAST(NULL AS VARCHAR) AS time_tracking_project,
-        CAST(NULL AS VARCHAR) AS time_tracking_product_id, client_id, {_ts(c.AS_OF)} AS extraction_timestamp,
-        CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS acceptance_criteria, client, sprint_name,
+        work_item_type, state, reason, area_path, iteration_path,
+        created_date, changed_date, created_by,
+        changed_by, assigned_to, parent_id, tags,
+        description_html, acceptance_criteria_html,
+        board_column, board_column_done, priority, story_points,
+        state_change_date, activated_date,
+        closed_date, time_tracking_project,
+        time_tracking_product_id, client_id, {_ts(c.AS_OF)} AS extraction_timestamp,
+        description, acceptance_criteria, client, sprint_name,
         string_split(area_path, '\')[1] AS area_level_1, string_split(area_path, '\')[2] AS area_level_2,
         string_split(area_path, '\')[3] AS area_level_3, string_split(iteration_path, '\')[1] AS iteration_level_1,
         string_split(iteration_path, '\')[2] AS iteration_level_2,

@@ -52,7 +52,7 @@ def latest_stories(bronze: DataFrame, method: str = "row_number", columns: list[
 
 
 def current_issues(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwargs) -> DataFrame:
-    return latest_issues(client_issues_bronze(spark, sf_dir, as_of=as_of), **kwargs)
+    return latest_issues(client_issues_bronze(spark, sf_dir, as_of=as_of, changes=True), **kwargs)
 
 
 def current_stories(spark: SparkSession, sf_dir: str, as_of: str | None = None, **kwargs) -> DataFrame:

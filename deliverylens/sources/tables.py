@@ -110,24 +110,43 @@ def client_issue_columns(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
         F.col("o_orderdate").alias("created"),
         F.when(k % 12 == 9, F.lit("Done")).alias("resolution"),
+        F.when(k % 6 == 1, F.lit(None).cast("string")).when(k % 6 == 0, F.lit(RICH_TEXT))
+         .otherwise(F.concat(F.lit("Note <b>"), key_text, F.lit("</b>"))).alias("description"),
+        F.when(k % 7 != 0, F.concat(F.lit("Person "), (k % 50).cast("string"))).alias("assignee"),
+        F.when(k % 9 != 0, F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd"))
+         .alias("due_date"),
+        (F.col("o_orderdate") + F.when(k % 5 == 2, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY")))
+         .alias("updated"),
     )
 
 
-def client_issues_bronze(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+# Stands for a description that is an object, which one JSON schema cannot say beside text.
+RICH_TEXT = "@rich-text@"
+
+
+def client_issues_bronze(spark: SparkSession, sf_dir: str, as_of: str | None = None,
+                         changes: bool = False) -> DataFrame:
     """Bronze issues: ``jira_internal_id, project, key, summary, issue_type,
-    updated, url, raw_data`` (STRING) + ``extraction_timestamp``."""
+    updated, url, raw_data`` (STRING) + ``extraction_timestamp``. With ``changes``
+    every fifth issue also has the earlier change that created it, as ``Backlog``."""
     flat = client_issue_columns(read_table(spark, sf_dir, "orders", spread_out=True),
                                 read_table(spark, sf_dir, "customer"))
+    if changes:
+        earlier = flat.where(F.col("updated") > F.col("created"))
+        flat = flat.unionByName(earlier.withColumns({"updated": F.col("created"), "jira_status": F.lit("Backlog")}))
     versions = F.transform(
         F.arrays_zip(F.col("release_ids").alias("id"), F.col("release_names").alias("name")),
         lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name")))
-    created = iso_text(F.col("created"))
+    created, updated = iso_text(F.col("created")), iso_text(F.col("updated"))
+    rich = F.concat(F.lit('{"type":"doc","text":"Order '), F.col("o_orderkey").cast("string"), F.lit('"}'))
     fields = F.struct(
         F.struct(F.col("project_key").alias("key"), F.col("project_name").alias("name")).alias("project"),
         F.col("jira_name").alias("summary"),
         F.struct(F.col("issue_type").alias("name")).alias("issuetype"),
         F.struct(F.col("jira_status").alias("name")).alias("status"),
+        F.col("description").alias("description"),
         F.struct(F.col("reporter").alias("displayName")).alias("reporter"),
+        F.when(F.col("assignee").isNotNull(), F.struct(F.col("assignee").alias("displayName"))).alias("assignee"),
         F.struct(F.col("priority").alias("name")).alias("priority"),
         F.col("jira_story_points").alias("customfield_10022"),
         F.when(F.col("parent_jira_id").isNotNull(),
@@ -135,8 +154,9 @@ def client_issues_bronze(spark: SparkSession, sf_dir: str, as_of: str | None = N
         versions.alias("fixVersions"),
         F.col("labels").alias("labels"),
         F.col("start_date").alias("customfield_10015"),
+        F.col("due_date").alias("duedate"),
         created.alias("created"),
-        created.alias("updated"),
+        updated.alias("updated"),
         F.when(F.col("resolution").isNotNull(), F.struct(F.col("resolution").alias("name"))).alias("resolution"),
     )
     body = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("jira_id").alias("key"),
@@ -148,9 +168,9 @@ def client_issues_bronze(spark: SparkSession, sf_dir: str, as_of: str | None = N
         F.col("jira_id").alias("key"),
         F.col("jira_name").alias("summary"),
         F.col("issue_type"),
-        created.alias("updated"),
+        updated.alias("updated"),
         F.concat(F.lit(f"{CLIENT_HOST}/browse/"), F.col("jira_id")).alias("url"),
-        F.to_json(body).alias("raw_data"),
+        F.replace(F.to_json(body), F.lit(f'"{RICH_TEXT}"'), rich).alias("raw_data"),
         stamp.alias("extraction_timestamp"),
     )
 
@@ -197,10 +217,25 @@ def internal_story_columns(lines: DataFrame, paths: DataFrame) -> DataFrame:
         F.col("area_path"),
         F.concat(F.lit("Delivery\\"), F.year("l_shipdate").cast("string"), F.lit("\\S"),
                  F.month("l_shipdate").cast("string")).alias("iteration_path"),
-        F.concat(F.col("l_returnflag"), F.lit("; "), F.col("l_linestatus")).alias("tags"),
+        F.when(ln == 2, F.lit(None).cast("string")).when(ln == 6, F.lit("  "))
+         .otherwise(F.concat(F.col("l_returnflag"), F.lit("; "), F.col("l_linestatus"))).alias("tags"),
         (ln % 4 + 1).cast("int").alias("priority"),
         F.col("l_orderkey").alias("parent_id"),
         F.col("l_shipdate").alias("changed"),
+        F.when(ln % 2 == 0, F.lit("Moved")).alias("reason"),
+        F.expr("l_shipdate - INTERVAL 10 DAYS").alias("created"),
+        F.concat(F.lit("Author "), (F.col("l_suppkey") % 10).cast("string")).alias("created_by"),
+        F.concat(F.lit("Editor "), (F.col("l_partkey") % 10).cast("string")).alias("changed_by"),
+        F.when(ln != 5, F.concat(F.lit("Dev "), (F.col("l_suppkey") % 7).cast("string"))).alias("assigned_to"),
+        F.concat(F.lit("<p>Line <b>"), sid, F.lit("</b></p>")).alias("description_html"),
+        F.when(ln != 4, F.concat(F.lit("<ul><li>"), F.col("l_quantity").cast("int").cast("string"),
+                                 F.lit("</li></ul>"))).alias("acceptance_html"),
+        (ln == 6).alias("board_done"),
+        F.expr("l_shipdate - INTERVAL 1 DAY").alias("state_changed"),
+        F.when(rf != "N", F.expr("l_shipdate - INTERVAL 5 DAYS")).alias("activated"),
+        F.when(ls == "F", F.col("l_shipdate")).alias("closed"),
+        F.concat(F.lit("TT-"), (F.col("l_suppkey") % 5).cast("string")).alias("tracking_project"),
+        F.when(ln % 3 != 0, (F.col("l_partkey") % 100).cast("string")).alias("tracking_product"),
     )
 
 
@@ -230,6 +265,20 @@ def internal_stories_bronze(spark: SparkSession, sf_dir: str, as_of: str | None
         F.col("priority").alias("Microsoft.VSTS.Common.Priority"),
         F.col("story_points").alias("Microsoft.VSTS.Scheduling.StoryPoints"),
         F.col("client_id").alias("Custom.Client_ID"),
+        F.col("reason").alias("System.Reason"),
+        iso_text(F.col("created"), "Z").alias("System.CreatedDate"),
+        F.struct(F.col("created_by").alias("displayName")).alias("System.CreatedBy"),
+        F.struct(F.col("changed_by").alias("displayName")).alias("System.ChangedBy"),
+        F.when(F.col("assigned_to").isNotNull(),
+               F.struct(F.col("assigned_to").alias("displayName"))).alias("System.AssignedTo"),
+        F.col("description_html").alias("System.Description"),
+        F.col("acceptance_html").alias("Microsoft.VSTS.Common.AcceptanceCriteria"),
+        F.col("board_done").alias("System.BoardColumnDone"),
+        iso_text(F.col("state_changed"), "Z").alias("Microsoft.VSTS.Common.StateChangeDate"),
+        iso_text(F.col("activated"), "Z").alias("Microsoft.VSTS.Common.ActivatedDate"),
+        iso_text(F.col("closed"), "Z").alias("Microsoft.VSTS.Common.ClosedDate"),
+        F.col("tracking_project").alias("Custom.TimeTrackingProject"),
+        F.col("tracking_product").alias("Custom.TimeTrackingProductID"),
     )
     body = F.struct(F.col("id"), F.col("rev"), url.alias("url"), fields.alias("fields"))
     stamp = F.to_timestamp(F.lit(as_of)) if as_of else F.current_timestamp()
