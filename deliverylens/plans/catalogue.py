@@ -208,6 +208,20 @@ def id_chunks(spark, sf):
                                          F.max("o_orderkey").alias("last_id"))
 
 
+def id_chunk_bodies(spark, sf):
+    """Ids listed first, then read in chunks: number, worth and latest date of each chunk's bodies."""
+    orders = read_table(spark, sf, "orders")
+    chunks = inc.id_chunks(orders.select("o_orderkey"), "o_orderkey", CHUNK_SIZE, scratch_path(spark, "id-chunks"))
+    bodies = inc.chunk_bodies(chunks, orders.select("o_orderkey", "o_totalprice", "o_orderdate"), "o_orderkey")
+    return bodies.groupBy("chunk_id").agg(
+        F.count(F.lit(1)).alias("n_bodies"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
+        F.max("o_orderdate").alias("last_date"))
+
+
+def project_listing(spark, sf):
+    return inc.list_projects(_events(spark, sf), "event_type").orderBy("event_type")
+
+
 # --------------------------------------------------------------- payload -----
 
 def envelope_json(spark, sf):
@@ -349,6 +363,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "project_list_filter": project_list_filter,
     "type_filter_slice": type_filter_slice,
     "id_chunks": id_chunks,
+    "id_chunk_bodies": id_chunk_bodies,
+    "project_listing": project_listing,
     "envelope_json": envelope_json,
     "ingest_stamp": ingest_stamp,
     "variant_extract_typed": variant_extract_typed,

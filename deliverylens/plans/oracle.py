@@ -240,6 +240,14 @@ SQL: dict[str, str] = {
     "enforced_releases": ROLLUP + " SELECT * FROM rollup ORDER BY release_name NULLS FIRST",
     "scd1_lineitem_max_by": "WITH " + LATEST_LINES + " SELECT * FROM latest_lines",
     "scd1_lineitem_row_number": "WITH " + LATEST_LINES + " SELECT * FROM latest_lines",
+    "id_chunk_bodies": f"""
+      SELECT CAST((rn - 1) // {c.CHUNK_SIZE} AS BIGINT) AS chunk_id, CAST(count(*) AS BIGINT) AS n_bodies,
+        CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, max(o_orderdate) AS last_date
+      FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
+    "project_listing": "SELECT DISTINCT event_type FROM events ORDER BY event_type",
+    "ingest_stamps": """
+      SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_unstamped, CAST(1 AS BIGINT) AS n_stamps,
+        true AS recent FROM events""",
     "scd1_events_latest": EVENTS_LATEST,
     "scd1_two_queries_one_table": EVENTS_LATEST,
     "scd1_backfill_new_checkpoint": EVENTS_LATEST,

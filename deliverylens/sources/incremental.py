@@ -110,3 +110,16 @@ def id_chunks(df: DataFrame, id_col: str, chunk_size: int, stage_path: str) -> D
     ranked = staged.join(F.broadcast(offsets.select("_pid", "_offset")), "_pid")
     rank = F.col("_offset") + F.col("_pos")  # 0-based
     return ranked.select(F.col(id_col), F.floor(rank / chunk_size).cast("bigint").alias("chunk_id"))
+
+
+def chunk_bodies(chunks: DataFrame, bodies: DataFrame, id_col: str) -> DataFrame:
+    """Second read step: the bodies of the listed ids with the chunk that asks
+    for each. The list and the bodies meet in a join on the executors, where
+    AQE may split an id that holds many rows."""
+    listed = chunks.select(id_col, "chunk_id").distinct()
+    return bodies.join(listed, id_col)
+
+
+def list_projects(df: DataFrame, project_col: str) -> DataFrame:
+    """Every project that the feed names, for an option that asks for all of them."""
+    return df.where(F.col(project_col).isNotNull()).select(project_col).distinct()
