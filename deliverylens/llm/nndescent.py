@@ -35,27 +35,31 @@ from pyspark.sql import types as T
 
 from .common import arrow_tasks, written
 
-EDGES = 20
-TREES = 5
-ROUNDS = 3
+EDGES = 32
+TREES = 8
+ROUNDS = 2
 BEAM = 96
 ENTRIES = 16
 SAMPLE = 8192
 CELL = 4096
 MOST_CELLS = 1024
-LEAF = 256
+LEAF = 2048
+BLOCK = 256
 
 
 # ---------------------------------------------------------------- numpy
 
 def nearest(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and squared distances of the k nearest others of each row of ``x``."""
-    sq = (x * x).sum(axis=1)
-    d = np.maximum(sq[:, None] + sq[None] - 2 * (x @ x.T), 0)
-    np.fill_diagonal(d, np.inf)
+    """Positions and squared distances of the k nearest others of each row of ``x``, a block of rows at a time."""
     k = min(k, len(x) - 1)
-    at = np.argpartition(d, k - 1, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(d, axis=1)[:, :k]
-    return at, np.take_along_axis(d, at, axis=1)
+    sq = (x * x).sum(axis=1)
+    at, near = np.empty((len(x), k), np.int64), np.empty((len(x), k))
+    for i in range(0, len(x), BLOCK):
+        d = np.maximum(sq[i: i + BLOCK, None] + sq[None] - 2 * (x[i: i + BLOCK] @ x.T), 0)
+        d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
+        at[i: i + BLOCK] = np.argpartition(d, k - 1, axis=1)[:, :k]
+        near[i: i + BLOCK] = np.take_along_axis(d, at[i: i + BLOCK], axis=1)
+    return at, near
 
 
 def _halves(x: np.ndarray, r: np.random.Generator) -> tuple[np.ndarray, float]:
@@ -138,7 +142,10 @@ def valid(vector: Column) -> Column:
 
 
 class Vectors:
-    """The vectors that take part: ``rows`` (vec_id, node), ``nodes`` (node, vec as bytes)."""
+    """The vectors that take part: ``rows`` (vec_id, node), ``nodes`` (node, vec, code).
+
+    ``vec``: the components as bytes; ``code``: the same over ``scale``, in half precision, for the graph.
+    """
 
     def __init__(self, table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"):
         spark = table.sparkSession
@@ -149,8 +156,9 @@ class Vectors:
         rows = (table.select(F.col(id_col).cast("long").alias("vec_id"),
                              F.col(vector_col).cast(f"array<{kind}>").alias("x"))
                 .where(F.col("vec_id").isNotNull() & valid(F.col("x"))))
-        self.size = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0))).first()[0]
-        size, dtype = self.size, self.dtype
+        largest = F.max(F.array_max(F.transform("x", F.abs))).cast("double")
+        self.size, self.scale = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0)), F.coalesce(largest, F.lit(1.0))).first()
+        size, scale, dtype = self.size, self.scale, self.dtype
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -158,13 +166,18 @@ class Vectors:
                 for v in b["x"].to_pylist():
                     padded = np.zeros(size, dtype)
                     padded[: len(v)] = v
-                    out.append((padded + 0.0).astype(dtype).tobytes())  # -0.0 becomes 0.0
-                yield pa.RecordBatch.from_arrays([b["vec_id"], pa.array(out, pa.binary())], ["vec_id", "vec"])
-
-        packed = rows.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(pack, "vec_id long, vec binary")
+                    out.append((padded + 0.0).astype(dtype))  # -0.0 becomes 0.0
+                yield pa.RecordBatch.from_arrays(
+                    [b["vec_id"], pa.array([v.tobytes() for v in out], pa.binary()),
+                     pa.array([(v / scale).astype("<f2").tobytes() for v in out], pa.binary())],
+                    ["vec_id", "vec", "code"])
+
+        packed = rows.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(
+            pack, "vec_id long, vec binary, code binary")
         packed = written(packed, "vectors")
-        self.nodes = written(packed.groupBy("vec").agg(F.min("vec_id").alias("node")).select("node", "vec"), "nodes")
-        self.rows = written(packed.join(self.nodes, "vec").select("vec_id", "node"), "members")
+        self.nodes = written(packed.groupBy("vec").agg(F.min("vec_id").alias("node"), F.min("code").alias("code"))
+                             .select("node", "vec", "code"), "nodes")
+        self.rows = written(packed.join(self.nodes.select("node", "vec"), "vec").select("vec_id", "node"), "members")
 
 
 def _best(pairs: DataFrame, by: str, k: int) -> DataFrame:
@@ -196,13 +209,13 @@ def first_edges(vectors: Vectors, k: int = EDGES, trees: int = TREES) -> DataFra
         a, b, d = cell_edges(_matrix(table["vec"], dtype), k, int(table["tree"][0].as_py()))
         return pa.table({"node": ids[a], "to": ids[b], "d": d})
 
-    dealt = nodes.mapInArrow(deal, "tree int, cell long, node long, vec binary")
+    dealt = nodes.select("node", "vec").mapInArrow(deal, "tree int, cell long, node long, vec binary")
     return _best(dealt.groupBy("tree", "cell").applyInArrow(compare, "node long, to long, d double"), "node", k)
 
 
 def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
     """One round of NN-descent over (node, to, d)."""
-    dtype = vectors.dtype
+    unit = vectors.scale ** 2
     far = edges.groupBy("node").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("n"))
     far = far.select(F.col("node").alias("member"), F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")).alias("far"))
     # In-edges: the k nearest of each node, so that a hub does not grow.
@@ -210,10 +223,10 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
     around = (edges.select(F.col("node").alias("at"), F.col("to").alias("member"))
               .unionByName(back.select("at", F.col("to").alias("member")))
               .unionByName(vectors.nodes.select(F.col("node").alias("at"), F.col("node").alias("member"))).distinct())
-    known = vectors.nodes.select(F.col("node").alias("member"), "vec").join(far, "member", "left")
+    known = vectors.nodes.select(F.col("node").alias("member"), "code").join(far, "member", "left")
     held = (around.join(known, "member")
             .groupBy("at").agg(F.collect_list(F.struct("member", F.coalesce("far", F.lit(float("inf"))).alias("far"),
-                                                       "vec")).alias("m")))  # 2 k + 1 at most
+                                                       "code")).alias("m")))  # 2 k + 1 at most
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,14 +234,14 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
             ends = m.offsets.to_numpy() - m.offsets[0].as_py()
             flat = m.flatten()
             ids, limit = flat.field("member").to_numpy(), flat.field("far").to_numpy()
-            x = _matrix(flat.field("vec"), dtype) if len(flat) else np.zeros((0, 1))
+            x = _matrix(flat.field("code"), "<f2") if len(flat) else np.zeros((0, 1))
             out = []
             for i, j in zip(ends[:-1], ends[1:]):
                 if j - i < 2:
                     continue
                 y = x[i:j]
                 sq = (y * y).sum(axis=1)
-                d = np.maximum(sq[:, None] + sq[None] - 2 * (y @ y.T), 0)
+                d = np.maximum(sq[:, None] + sq[None] - 2 * (y @ y.T), 0) * unit
                 np.fill_diagonal(d, np.inf)
                 r, c = np.nonzero(d < limit[i:j, None])
                 out.append((ids[i:j][r], ids[i:j][c], d[r, c]))
