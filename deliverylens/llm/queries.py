@@ -59,4 +59,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op8_nn_descent, op9_site_style_tree, op10_warc)}
 
 #: DuckDB SQL of the operators that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_warc": """
+      SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+      FROM (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+              sha1(coalesce(html, '')) AS payload_digest,
+              max(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS keeper
+            FROM pages)""",
+}
