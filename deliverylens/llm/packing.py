@@ -37,48 +37,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import arrow_tasks, written
+from .bpe import byte_alphabet
+from .common import BoundedCache, arrow_tasks, written
 
 SEQUENCE = 4096
 END_ID = 1
 CACHE_WORDS = 250_000
-_CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+STRETCH = 1_000_000
+_BLANK = re.compile(r"[\t-\r ]")
+_RUNS = re.compile(r"[^\t-\r ]+")
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+# Fixed value: the vocabulary file's word pattern, for texts of _PLAIN characters in lower case.
+_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
 # ---------------------------------------------------------------- tokens
 
 class Tokens:
-    """Ids of whole texts by a vocabulary file whose words never span white space.
+    """Ids of whole texts by a vocabulary file (lower case, words that never span white space).
 
-    The library encodes each distinct run of non-blanks once while it stays in the cache.
+    A text of ASCII and Latin-1 letters, for which lower case and composition
+    need no tables, is cut into words here and each distinct word is merged by
+    the library's model once while it stays in the cache. A stretch with any
+    other character goes to the library run by run of non-blanks.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.cache]
-        if not new:
-            return
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list(chunks)
-        for i in range(0, len(new), 4096):
-            part = new[i: i + 4096]
-            for c, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[c] = tuple(e.ids)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        stand_in = {b: c for c, b in byte_alphabet().items()}
+        self.bytes = [stand_in[b] for b in range(256)]
+        model = self.library.model
+
+        def merge(word: str) -> tuple[int, ...]:
+            text = word if word.isascii() else "".join([self.bytes[b] for b in word.encode()])
+            return tuple([t.id for t in model.tokenize(text)])
+
+        self.words = BoundedCache(merge, CACHE_WORDS)
+        self.runs = BoundedCache(lambda run: tuple(self.library.encode(run, add_special_tokens=False).ids), CACHE_WORDS)
 
     def encode(self, text: str | None) -> array:
         ids = array("I")
-        chunks = _CHUNK.findall(text or "")
-        for i in range(0, len(chunks), CACHE_WORDS // 2):
-            part = chunks[i: i + CACHE_WORDS // 2]
-            self.learn(set(part))
-            ids.extend(chain.from_iterable(map(self.cache.__getitem__, part)))
+        for part in _stretches(text or ""):
+            if _PLAIN.fullmatch(part) and not any(s in part for s in self.special):
+                found, known = _WORDS.findall(part.lower()), self.words
+            else:
+                found, known = _RUNS.findall(part), self.runs
+            ids.extend(chain.from_iterable(map(known.__getitem__, found)))
         return ids
 
 
+def _stretches(text: str) -> Iterator[str]:
+    """The text in stretches of bounded length, cut at blanks only."""
+    start = 0
+    while len(text) - start > STRETCH:
+        blank = _BLANK.search(text, start + STRETCH)
+        if blank is None:
+            break
+        yield text[start: blank.start()]
+        start = blank.start()
+    yield text[start:] if start else text
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Tokens:
     """The tokenizer of a file, once for each worker process."""
@@ -282,7 +302,7 @@ def pack(docs: DataFrame, vocabulary: str, cap: int = SEQUENCE, end_id: int = EN
             yield b.append_column("offset", pa.array(offset[at] + nth % each[at] * size, pa.int64()))
 
     cols = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-    ranked = (table.join(counts.select("part", "length", "base"), ["part", "length"])
+    ranked = (table.join(counts.select("part", "length", "base").hint("merge"), ["part", "length"])
               .select(*cols, (F.col("base") + F.col("nth")).alias("rank")))
     schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
