@@ -34,25 +34,35 @@ from .quality import Rule
 # Gold table contracts (column names, types, NOT NULL) and the
 # projection of the mapping, output name -> (side, silver column).
 MAPPED_ITEMS_DDL = """
-jira_id STRING NOT NULL, jira_name STRING, jira_project_name STRING, jira_issue_type STRING,
-jira_status STRING, jira_description STRING, jira_reporter STRING, jira_assignee STRING,
-jira_priority STRING, jira_story_points INT, jira_parent_id STRING, jira_fix_versions ARRAY<STRING>,
-release_ids ARRAY<STRING>, jira_labels ARRAY<STRING>, jira_start_date STRING, jira_due_date STRING,
-jira_created_date TIMESTAMP, jira_updated_date TIMESTAMP, jira_resolution STRING, jira_url STRING,
-jira_is_closed BOOLEAN, ado_story_id STRING, ado_parent_id STRING, ado_story_points INT,
-ado_revision INT, ado_name STRING, ado_description STRING, ado_acceptance_criteria STRING,
-ado_board_column STRING, ado_board_done BOOLEAN, ado_priority INT, ado_project STRING,
-ado_status STRING, ado_is_closed BOOLEAN, ado_reason STRING, ado_iteration STRING, ado_tags STRING,
-internal_area STRING, internal_client STRING, sprint_name STRING, time_tracking_project STRING,
-time_tracking_product_id STRING
+jira_id STRING NOT NULL COMMENT 'key of the client issue, blanks trimmed',
+jira_name STRING, jira_project_name STRING, jira_issue_type STRING, jira_status STRING,
+jira_description STRING, jira_reporter STRING, jira_assignee STRING, jira_priority STRING,
+jira_story_points INT, jira_parent_id STRING, jira_fix_versions ARRAY<STRING>,
+release_ids ARRAY<STRING> COMMENT 'releases of the issue, matched to the names by place',
+jira_labels ARRAY<STRING>, jira_start_date STRING, jira_due_date STRING, jira_created_date TIMESTAMP,
+jira_updated_date TIMESTAMP, jira_resolution STRING, jira_url STRING, jira_is_closed BOOLEAN,
+ado_story_id STRING COMMENT 'story that names the issue, null if none',
+ado_parent_id STRING, ado_story_points INT, ado_revision INT, ado_name STRING,
+ado_description STRING, ado_acceptance_criteria STRING, ado_board_column STRING,
+ado_board_done BOOLEAN, ado_priority INT, ado_project STRING, ado_status STRING,
+ado_is_closed BOOLEAN, ado_reason STRING, ado_iteration STRING, ado_tags STRING,
+internal_area STRING,
+internal_client STRING COMMENT 'last level of the area path',
+sprint_name STRING COMMENT 'last level of the iteration path',
+time_tracking_project STRING, time_tracking_product_id STRING
 """
 RELEASES_DDL = """
-release_id STRING NOT NULL, release_name STRING, story_point_total DOUBLE,
-amount_of_work_items BIGINT NOT NULL, work_items_without_story_points BIGINT NOT NULL,
-total_work BIGINT NOT NULL, unstarted BIGINT NOT NULL, in_progress BIGINT NOT NULL,
-blocked BIGINT NOT NULL, pending_review BIGINT NOT NULL, merged_internally BIGINT NOT NULL,
-merged_to_client BIGINT NOT NULL, user_testing BIGINT NOT NULL, done BIGINT NOT NULL,
-removed BIGINT NOT NULL, uncategorised BIGINT NOT NULL, last_update TIMESTAMP NOT NULL
+release_id STRING NOT NULL COMMENT 'id of the release; one row each',
+release_name STRING COMMENT 'title of the release, may be missing',
+story_point_total DOUBLE COMMENT 'points of its items, the internal estimate before the client one',
+amount_of_work_items BIGINT NOT NULL COMMENT 'items in the release',
+work_items_without_story_points BIGINT NOT NULL COMMENT 'items neither system has estimated',
+total_work BIGINT NOT NULL COMMENT 'items again, to hold against the state counts',
+unstarted BIGINT NOT NULL, in_progress BIGINT NOT NULL, blocked BIGINT NOT NULL,
+pending_review BIGINT NOT NULL, merged_internally BIGINT NOT NULL, merged_to_client BIGINT NOT NULL,
+user_testing BIGINT NOT NULL, done BIGINT NOT NULL, removed BIGINT NOT NULL,
+uncategorised BIGINT NOT NULL COMMENT 'items whose state no system names',
+last_update TIMESTAMP NOT NULL COMMENT 'time of the run that wrote the row'
 """
 ISSUE_SIDE = [
     ("jira_id", "jira_id"), ("jira_name", "jira_name"), ("jira_project_name", "project_name"),
@@ -147,9 +157,9 @@ def unmatched_items(issues: DataFrame, stories: DataFrame, keep_null_state: bool
     return i.join(keys, _KEY, "left_anti").drop(_KEY)
 
 
-MAPPING_WARN_RULE = Rule("missing matching internal story", "ado_story_id IS NOT NULL")
+MAPPING_WARN_RULE = Rule("story_found", "ado_story_id IS NOT NULL")
 RELEASE_FAIL_RULE = Rule(
-    "total work must equal the sum of all states",
+    "states_add_up",
     "total_work = (" + " + ".join(UNIFIED_STATES) + ")",
 )
 
