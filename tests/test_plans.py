@@ -16,7 +16,7 @@ def _lineitem(spark):
 
 
 def test_max_by_is_reduced_before_the_shuffle(spark):
-    df = latest_per_key(_lineitem(spark), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
+    df = latest_per_key(_lineitem(spark), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"], method="max_by")
     plan = _plan(df)
     assert "partial_max_by" in plan
     # the partial aggregate sits below (after, in the text) the exchange
