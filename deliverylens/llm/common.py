@@ -58,10 +58,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives the loss of any executor."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, n: int, *cols: str) -> DataFrame:
+    """At most ``n`` rows, the first by a hash of ``cols``.
+
+    Rows are thinned by the hash before they are ordered, so that about twice
+    ``n`` of them leave the tasks, however many tasks there are.
+    """
+    h = F.xxhash64(*cols)
+    thin = max(1, df.count() // (2 * n))
+    return df.where(F.pmod(h, F.lit(thin)) == 0).orderBy(h, *cols).limit(n)
+
+
 def id_crc32(doc_id: Column) -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_tasks, written
+from .common import arrow_tasks, hash_sample, written
 
 EDGES = 32
 TREES = 8
@@ -191,7 +191,7 @@ def first_edges(vectors: Vectors, k: int = EDGES, trees: int = TREES) -> DataFra
     """(node, to, d) from the leaves of random projection trees; d is the squared distance."""
     nodes, dtype = vectors.nodes, vectors.dtype
     n = nodes.count()
-    sample = [bytes(r.vec) for r in nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).collect()]
+    sample = [bytes(r.vec) for r in hash_sample(nodes.select("node", "vec"), SAMPLE, "node").collect()]
     cells = min(MOST_CELLS, -(-n // CELL))
     tops = [build_tree(_matrix(sample, dtype), cells, seed) if sample else [] for seed in range(trees)]
 
@@ -280,9 +280,11 @@ def search(queries: DataFrame, edges: DataFrame, vectors: Vectors, beam: int = B
     # Edges are followed both ways; in-edges are kept to the nearest ones of each node.
     back = _best(edges.select(F.col("to").alias("at"), F.col("node").alias("to"), "d"), "at", EDGES)
     ways = written(edges.select(F.col("node").alias("at"), "to").unionByName(back.select("at", "to")).distinct(), "ways")
-    entries = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES)
+    entries = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).select("node", "vec").collect()
     here = queries.select("query", F.col("vec").alias("a"))
-    starts = (here.crossJoin(F.broadcast(entries.select(F.col("node").alias("to"), F.col("vec").alias("b"))))
+    places = [F.struct(F.lit(r.node).alias("to"), F.lit(bytes(r.vec)).alias("b")) for r in entries]
+    at = F.explode(F.array(*places)) if places else F.explode(F.array().cast("array<struct<to:bigint,b:binary>>"))
+    starts = (here.withColumn("e", at).select("query", "a", F.col("e.to").alias("to"), F.col("e.b").alias("b"))
               .unionByName(here.join(nodes.select(F.col("node").alias("to"), F.col("vec").alias("b")),
                                      F.col("query") == F.col("to"))).distinct())
     found = distances(starts, dtype).withColumn("done", F.lit(False))

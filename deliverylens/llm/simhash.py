@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, arrow_tasks, written
+from .common import arrow_tasks, hash_sample, numbered, written
 from .components import components
 
 SEED = 42
@@ -204,7 +204,7 @@ def links(fps: DataFrame, bits: int = 3, shard_target: int = SHARD_TARGET,
     """(a, b): links between distinct fingerprints (column fp) that connect all pairs within ``bits``."""
     spark = fps.sparkSession
     n = fps.count()
-    sample = np.array([r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
+    sample = np.array([r.fp for r in hash_sample(fps.select("fp"), SAMPLE, "fp").collect()],
                       np.int64).view(np.uint64)
     nodes = build_top(sample, -(-n // shard_target), bits)
 
