@@ -33,6 +33,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,9 +208,11 @@ def with_next(docs: DataFrame) -> DataFrame:
             return out([[doc_id], [len(text)], [None], as_text(own), [None], [None], [None]], which, text)
 
         held = None  # the last row so far: id, text, fingerprint
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
             all_ids = b["doc_id"].to_pylist()
-            for i, texts in text_chunks(b["text"].to_pylist(), CHUNK_CHARS):
+            given = [unpack.decompress(z).decode("utf-8", "surrogatepass") for z in b["text"].to_pylist()]
+            for i, texts in text_chunks(given, CHUNK_CHARS):
                 ids, own = all_ids[i: i + len(texts)], signatures(texts)
                 if held is None:
                     yield at_edge("first", ids[0], texts[0], own[:1])
@@ -221,17 +224,26 @@ def with_next(docs: DataFrame) -> DataFrame:
         if held is not None:
             yield at_edge("last", *held)
 
-    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order[:2])
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            texts = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["tie"], pa.array(texts, pa.binary())],
+                                             ["doc_id", "tie", "text"])
+
+    # The texts cross the one shuffle packed, and are unpacked batch by batch where they are read.
+    rows = (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
+            .mapInArrow(packed, "doc_id long, tie long, text binary")
+            .repartitionByRange("doc_id", "tie", F.monotonically_increasing_id()).sortWithinPartitions("doc_id", "tie"))
     table = written(rows.mapInArrow(run, _SCHEMA + ", part int, edge string, text string"), "phrases")
 
     # The first row after each partition: two rows of every partition, joined on the partitions' numbers.
     first = table.where("edge = 'first'").select(
         F.col("part").alias("next_part"), F.col("text").alias("after"), F.col("fingerprint").alias("following"))
     parts = table.where("edge = 'first'").select("part")
-    begin = parts.agg(F.min("part").alias("begin"))
-    order_parts = (parts.withColumn("lead", F.lead("part").over(Window.orderBy("part"))).crossJoin(F.broadcast(begin))
-                   .select("part", F.coalesce("lead", "begin").alias("next_part")))
+    in_order = Window.orderBy("part")
+    order_parts = parts.select("part", F.coalesce(
+        F.lead("part").over(in_order), F.first("part").over(in_order)).alias("next_part"))
     last = (table.where("edge = 'last'").select("part", "doc_id", "text", "fingerprint")
             .join(order_parts, "part").join(first, "next_part").select("doc_id", "text", "fingerprint", "after",
                                                                      "following"))
