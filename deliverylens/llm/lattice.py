@@ -5,16 +5,15 @@ one path for each way to cut the text into pieces, and bytes for a character
 that is no piece. The model's probability of a text is the sum over all paths,
 found by a forward recursion in log space. No piece crosses a blank, so every
 path passes through every word's end and the recursion over a text is the sum
-of those over its words; each distinct word is worked out once while it stays
-in a task's cache.
+of those over its words; each distinct word is worked out once, by Spark.
 
 Piece weights start from the scores that the vocabulary file gives and are
 fitted to all training words by `ROUNDS` rounds of expectation and
 maximization over the same lattices, run by Spark on the counted words. The
 end of a text is a piece of its own. All words of the training texts are
 counted; the driver sees sums over the vocabulary's pieces only, and the
-counts of the `HEAD` most frequent words, which every task gets. Counts of all
-other words reach the documents through a join.
+scores of the `HEAD` most frequent words, which every task gets. All other
+words meet their scores in a join.
 
 Defined cases: null counts as the empty text, whose only token is the end; a
 null id counts as the empty id in the training fold; with no training row all
@@ -41,13 +40,10 @@ ROUNDS = 2
 PRIOR = 1000.0
 HEAD = 100_000
 HEAD_BYTES = 64
-CACHE_WORDS = 300_000
 FLUSH_WORDS = 200_000
-BATCH_WORDS = 20_000
-BATCH_CELLS = 4_000_000
+BATCH_CELLS = 500_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
-_NONE = -1e30
 
 
 def words(text: str | None) -> list[bytes]:
@@ -103,60 +99,73 @@ class Lattice:
             raise ValueError("two pieces share a name")
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(self.names)] = True
-        self.cache: dict[bytes, float] = {}
 
     @staticmethod
     def _slot(names: np.ndarray) -> np.ndarray:
         return ((names ^ (names >> _U(32))) * _U(0xD6E8FEB86659FD93) >> _U(44)).astype(np.int64)
 
-    def _edges(self, codes: np.ndarray, inside: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, rows and columns, pieces) of all pieces that end at each place of equally long words."""
-        rows, width = codes.shape
-        name = np.zeros((rows, width), np.uint64)
-        for k in range(1, min(self.longest, width) + 1):
-            # name[:, i]: name of the k characters from i on.
-            name = name[:, : width - k + 1] * _B + codes[:, k - 1:]
-            hit = self.maybe[self._slot(name)]
-            r, c = np.nonzero(hit)
-            found = name[r, c]
-            at = np.minimum(np.searchsorted(self.names, found), len(self.names) - 1)
-            good = self.names[at] == found
-            yield k, r[good], c[good], self.ids[at[good]]
+    def _prepare(self, group: list[str]) -> tuple[np.ndarray, np.ndarray, list, np.ndarray, list]:
+        """Lattices of equally long words, their blank before them.
 
-    def _prepare(self, group: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Characters of equally long words with their blank, and the byte weight of each distinct character."""
+        Number of each character's kind, by place and word; how bytes spell each
+        kind; the log weight of that; and for each length the pieces that occur:
+        (length, slices by the place where they begin, words, pieces).
+        """
         codes, _ = code_points([BLANK + w for w in group])
-        codes = codes.reshape(len(group), -1).astype(np.uint64) + _U(1)
+        codes = np.ascontiguousarray(codes.reshape(len(group), -1).T.astype(np.uint64)) + _U(1)
         kinds, which = np.unique(codes, return_inverse=True)
+        which = which.reshape(codes.shape)
         spell = [self.pieces.bytes[list(chr(int(c) - 1).encode("utf-8", "surrogatepass"))] for c in kinds]
-        return codes, which.reshape(codes.shape), spell
-
-    def _forward(self, codes: np.ndarray, which: np.ndarray, spell: list) -> tuple[np.ndarray, np.ndarray, list]:
-        """Log forward weights of equally long words, byte weights of their characters, and the edges."""
-        rows, width = codes.shape
         fall = np.array([self.log[s].sum() for s in spell])[which]
-        # score[k][:, j]: log probability of the piece of length k + 1 that ends before place j.
-        longest = min(self.longest, width)
-        score = np.full((longest, rows, width + 1), _NONE)
-        edges = list(self._edges(codes, which))
-        for k, r, c, ids in edges:
-            score[k - 1, r, c + k] = self.log[ids]
-        score[0, :, 1:] = np.logaddexp(score[0, :, 1:], fall)
-        alpha = np.full((rows, width + 1), _NONE)
-        alpha[:, 0] = 0
+        width, edges = len(codes), []
+        name = np.zeros_like(codes)
+        for k in range(1, min(self.longest, width) + 1):
+            name = name[: width - k + 1] * _B + codes[k - 1:]  # of the k characters from each place on
+            c, r = np.nonzero(self.maybe[self._slot(name)])
+            found = name[c, r]
+            at = np.minimum(np.searchsorted(self.names, found), len(self.names) - 1)
+            good = self.names[at] == found
+            c, r, ids = c[good], r[good], self.ids[at[good]]
+            if len(c):
+                edges.append((k, np.searchsorted(c, np.arange(width + 1)).tolist(), c, r, ids))
+        return which, fall, spell, codes, edges
+
+    def _forward(self, fall: np.ndarray, edges: list) -> np.ndarray:
+        """Log weights of all paths from the words' beginning to each place."""
+        width, rows = fall.shape
+        alpha = np.zeros((width + 1, rows))
+        weights = [self.log[ids] for *_, ids in edges]
         for j in range(1, width + 1):
-            n = min(longest, j)
-            into = alpha[:, j - n: j][:, ::-1] + score[:n, :, j].T
-            top = into.max(axis=1)
-            alpha[:, j] = top + np.log(np.exp(into - top[:, None]).sum(axis=1))
-        return alpha, fall, edges
+            here = alpha[j - 1] + fall[j - 1]
+            for (k, cut, _, r, _), w in zip(edges, weights):
+                if k <= j and cut[j - k] < cut[j - k + 1]:
+                    part = slice(cut[j - k], cut[j - k + 1])
+                    who = r[part]
+                    here[who] = np.logaddexp(here[who], alpha[j - k, who] + w[part])
+            alpha[j] = here
+        return alpha
+
+    def _backward(self, fall: np.ndarray, edges: list) -> np.ndarray:
+        """Log weights of all paths from each place to the words' end."""
+        width, rows = fall.shape
+        beta = np.zeros((width + 1, rows))
+        weights = [self.log[ids] for *_, ids in edges]
+        for j in range(width - 1, -1, -1):
+            here = beta[j + 1] + fall[j]
+            for (k, cut, _, r, _), w in zip(edges, weights):
+                if j + k <= width and cut[j] < cut[j + 1]:
+                    part = slice(cut[j], cut[j + 1])
+                    who = r[part]
+                    here[who] = np.logaddexp(here[who], beta[j + k, who] + w[part])
+            beta[j] = here
+        return beta
 
     def _groups(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """Positions of equally long texts, few enough for bounded memory."""
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         for n in np.unique(size):
             who = np.flatnonzero(size == n)
-            step = max(1, int(BATCH_CELLS // ((n + 2) * min(self.longest, n + 1))))
+            step = max(1, int(BATCH_CELLS // (n + 2)))
             for i in range(0, len(who), step):
                 yield who[i: i + step]
 
@@ -164,82 +173,56 @@ class Lattice:
         """Log10 of the marginal probability of each word."""
         out = np.zeros(len(texts))
         for who in self._groups(texts):
-            alpha, _, _ = self._forward(*self._prepare([texts[i] for i in who]))
-            out[who] = alpha[:, -1] / np.log(10)
+            _, fall, _, _, edges = self._prepare([texts[i] for i in who])
+            out[who] = self._forward(fall, edges)[-1] / np.log(10)
         return out
 
     def expected(self, texts: Sequence[str], counts: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece in words with counts."""
         total = np.zeros(len(self.pieces.texts) + 1)
         for who in self._groups(texts):
-            codes, which, spell = self._prepare([texts[i] for i in who])
-            alpha, fall, edges = self._forward(codes, which, spell)
-            rows, width = codes.shape
-            longest = min(self.longest, width)
-            score = np.full((longest, rows, width + 1), _NONE)
-            for k, r, c, ids in edges:
-                score[k - 1, r, c] = self.log[ids]  # by the place where it begins
-            score[0, :, :-1] = np.logaddexp(score[0, :, :-1], fall)
-            beta = np.full((rows, width + 1), _NONE)
-            beta[:, -1] = 0
-            for j in range(width - 1, -1, -1):
-                n = min(longest, width - j)
-                into = beta[:, j + 1: j + 1 + n] + score[:n, :, j].T
-                top = into.max(axis=1)
-                beta[:, j] = top + np.log(np.exp(into - top[:, None]).sum(axis=1))
-            whole, n = alpha[:, -1], counts[who]
-            for k, r, c, ids in edges:
-                use = np.exp(alpha[r, c] + self.log[ids] + beta[r, c + k] - whole[r]) * n[r]
+            which, fall, spell, _, edges = self._prepare([texts[i] for i in who])
+            alpha, beta = self._forward(fall, edges), self._backward(fall, edges)
+            whole, n = alpha[-1], counts[who]
+            for k, _, c, r, ids in edges:
+                use = np.exp(alpha[c, r] + self.log[ids] + beta[c + k, r] - whole[r]) * n[r]
                 total += np.bincount(ids, use, len(total))
-            use = np.exp(alpha[:, :-1] + fall + beta[:, 1:] - whole[:, None]) * n[:, None]
+            use = np.exp(alpha[:-1] + fall + beta[1:] - whole) * n
             for s, u in zip(spell, np.bincount(which.ravel(), use.ravel(), len(spell))):
                 np.add.at(total, s, u)
         return total
 
-    def learn(self, new: Sequence[bytes]) -> None:
-        """Have the words in the cache."""
-        every, new = new, [w for w in new if w not in self.cache]
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = every
-        for i in range(0, len(new), BATCH_WORDS):
-            part = new[i: i + BATCH_WORDS]
-            self.cache.update(zip(part, self.log10([w.decode("utf-8", "surrogatepass") for w in part]).tolist()))
-
-    def score(self, counted: Counter) -> float:
-        """Log10 probability of a text's words and its end."""
-        total = self.log[self.pieces.end] / np.log(10)
-        some = list(counted)
-        for i in range(0, len(some), CACHE_WORDS // 2):
-            part = some[i: i + CACHE_WORDS // 2]
-            self.learn(part)
-            total += sum(self.cache[w] * counted[w] for w in part)
-        return float(total)
-
 
 # ---------------------------------------------------------------- training
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) of all words of (text), as binary; what a task has counted is passed on before it grows large."""
+    """(word, c) of all words of (text, held_out), c their number in rows that are not held out.
+
+    Words are binary. What a task has counted is passed on before it grows large.
+    """
     arrow_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        others: set[bytes] = set()
 
         def out() -> pa.RecordBatch:
+            seen.update(dict.fromkeys(others - seen.keys(), 0))
             b = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
                                            ["word", "c"])
             seen.clear()
+            others.clear()
             return b
 
         for b in batches:
-            for t in b["text"].to_pylist():
-                seen.update(words(t))
-                if len(seen) > FLUSH_WORDS:
+            for t, held in zip(b["text"].to_pylist(), b["held_out"].to_pylist()):
+                (others if held else seen).update(words(t))
+                if len(seen) + len(others) > FLUSH_WORDS:
                     yield out()
         yield out()
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return (docs.select("text", "held_out").mapInArrow(run, "word binary, c long")
+            .groupBy("word").agg(F.sum("c").alias("c")))
 
 
 def fit(counts: DataFrame, ends: int, vocabulary: str, rounds: int = ROUNDS, prior: float = PRIOR) -> np.ndarray:
@@ -272,6 +255,32 @@ def fit(counts: DataFrame, ends: int, vocabulary: str, rounds: int = ROUNDS, pri
 
 # ---------------------------------------------------------------- scoring
 
+def word_scores(counts: DataFrame, probability: np.ndarray, vocabulary: str) -> DataFrame:
+    """(word, c, log10): the marginal log10 probability of each word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(Pieces(vocabulary), probability)
+        for b in batches:
+            texts = [w.decode("utf-8", "surrogatepass") for w in b["word"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["word"], b["c"], pa.array(lattice.log10(texts), pa.float64())],
+                                             ["word", "c", "log10"])
+
+    return counts.mapInArrow(run, "word binary, c long, log10 double")
+
+
+def _frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, at most ``most`` of them: all whose count reaches a power of 2 ** (1 / 8)."""
+    level = F.floor(F.log2("c") * 8)
+    sizes = (counts.where("c > 0").groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
+             .collect())  # 64 * 8 rows at most
+    least, room = None, most
+    for r in sorted(sizes, key=lambda r: -r.level):
+        room -= r.n
+        if room < 0:
+            break
+        least = r.level
+    return counts.where(F.lit(False) if least is None else (F.col("c") > 0) & (level >= least))
+
+
 def score(docs: DataFrame, vocabulary: str, folds: int = 7, held: int = 2, head: int = HEAD) -> DataFrame:
     """Scores of every row of (doc_id, text), learning from the rows outside the held-out fold.
 
@@ -282,50 +291,57 @@ def score(docs: DataFrame, vocabulary: str, folds: int = 7, held: int = 2, head:
     arrow_tasks(spark)
     rows = docs.select(F.col("doc_id").cast("long"), (id_crc32(F.col("doc_id")) % folds == held).alias("held_out"),
                        "text")
-    train = rows.where("NOT held_out")
-    counts = written(word_counts(train), "words")
-    ends = train.count()
-    n_words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = written(word_counts(rows), "words")
+    ends = rows.where("NOT held_out").count()
+    n_words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     total, kinds = n_words + ends, distinct + (ends > 0)
-    probability = fit(counts, ends, vocabulary)
-    top = (counts.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head).collect())
-    known = spark.sparkContext.broadcast({bytes(r.word): r.c for r in top})  # at most head words of HEAD_BYTES
     whole = float(total + kinds + 1)
+    probability = fit(counts.where("c > 0"), ends, vocabulary)
+    scores = written(word_scores(counts, probability, vocabulary), "word_scores")
+    top = _frequent(scores.where(F.octet_length("word") <= HEAD_BYTES), head).collect()
+    common = spark.sparkContext.broadcast(  # at most head words of HEAD_BYTES
+        {bytes(r.word): (math.log10((r.c + 1) / whole), r.log10) for r in top})
+    end_base, end_score = math.log10((ends + 1) / whole), float(np.log10(probability[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, common = Lattice(Pieces(vocabulary), probability), known.value
+        known = common.value.get
         for b in batches:
-            counted = [Counter(words(t)) for t in b["text"].to_pylist()]
-            cols: list[list] = [[] for _ in range(5)]
-            for i, c in enumerate(counted):
-                if i % 200 == 0:
-                    lattice.learn(list(dict.fromkeys(w for c in counted[i: i + 200] for w in c)))
-                base, n_known, rest = math.log10((ends + 1) / whole), int(ends > 0), []
-                for w, n in c.items():
-                    k = common.get(w)
-                    if k is None:
-                        rest.append({"word": w, "n": n})
+            cols: list[list] = [[] for _ in range(4)]
+            names, numbers, cuts = [], [], [0]
+            for text in b["text"].to_pylist():
+                n_tokens, n_known, base, mine = 1, int(ends > 0), end_base, end_score
+                for w, n in Counter(words(text)).items():
+                    n_tokens += n
+                    both = known(w)
+                    if both is None:
+                        names.append(w)
+                        numbers.append(n)
                     else:
-                        base += n * math.log10((k + 1) / whole)
                         n_known += n
-                for col, v in zip(cols, (sum(c.values()) + 1, n_known, base, lattice.score(c), rest)):
+                        base += n * both[0]
+                        mine += n * both[1]
+                cuts.append(len(names))
+                for col, v in zip(cols, (n_tokens, n_known, base, mine)):
                     col.append(v)
+            rest = pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["held_out"], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                  pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()),
-                 pa.array(cols[4], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rest)],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"])
 
     table = written(rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                                          "base_score double, score double, rest array<struct<word:binary,n:bigint>>")
                     .withColumn("uid", F.monotonically_increasing_id()), "scored")
-    # Words outside the head: their counts come through a join, none of them frequent.
+    # Words outside the head meet their counts and scores in a join; none of them is frequent.
     rest = table.select("uid", F.explode("rest").alias("r")).select("uid", "r.word", "r.n")
-    c = F.coalesce("c", F.lit(0))
-    added = (rest.join(counts, "word", "left").groupBy("uid")
-             .agg(F.sum(F.col("n") * F.log10((c + 1) / F.lit(whole))).alias("base"),
-                  F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known")))
+    added = (rest.join(scores, "word").groupBy("uid")
+             .agg(F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.lit(whole))).alias("base"),
+                  F.sum(F.col("n") * F.col("log10")).alias("mine"),
+                  F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known")))
+    zero = F.lit(0.0)
     return (table.drop("rest").join(added, "uid", "left")
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
                     F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"), "score"))
+                    (F.col("base_score") + F.coalesce("base", zero)).alias("base_score"),
+                    (F.col("score") + F.coalesce("mine", zero)).alias("score")))
