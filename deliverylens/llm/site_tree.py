@@ -44,6 +44,8 @@ LEAST_PAGES = 8
 THRESHOLD = 0.35
 STYLE_WEIGHT = 0.25
 HALF = 0.5
+#: So many (host, branch) pairs of 16 bytes go to every task; more meet their pages in a join.
+BROADCAST_PATHS = 200_000
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -274,18 +276,42 @@ def importance(pages: DataFrame) -> DataFrame:
                     (F.col("size") / F.col("all")).alias("share")))
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """page_id, url, text, n_chars of every row of (page_id, url, html)."""
+def _kept(blocks: list[dict], low: frozenset | set) -> list[dict]:
+    """Blocks that no branch of ``low`` holds. A page that would lose everything was all template; it keeps what it has."""
+    return [b for b in blocks if b["plain"] or low.isdisjoint(b["paths"])] or blocks
+
+
+def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES,
+            broadcast_paths: int = BROADCAST_PATHS) -> DataFrame:
+    """page_id, url, text, n_chars of every row of (page_id, url, html).
+
+    The branches to remove go to every task if they are no more than
+    ``broadcast_paths``; else pages and their branches meet in a join.
+    """
     table = written(parsed(pages).withColumn("uid", F.monotonically_increasing_id()), "page_trees")
-    low = (importance(table).where((F.col("importance") < threshold) & (F.col("pages") >= least_pages)
-                                   & (F.col("share") < HALF)).select("host", "path"))
-    paths = F.array_distinct(F.flatten(F.transform(F.filter("blocks", lambda b: ~b["plain"]), lambda b: b["paths"])))
-    gone = (table.select("uid", "host", F.explode(paths).alias("path")).join(low, ["host", "path"])
-            .groupBy("uid").agg(F.collect_set("path").alias("low")))
-    kept = F.filter("blocks", lambda b: b["plain"] | F.col("low").isNull()
-                    | ~F.arrays_overlap(b["paths"], F.col("low")))
-    rows = table.join(gone, "uid", "left").withColumn("kept", kept)
-    # A page that would lose everything was all template; it keeps what it has.
-    blocks = F.when(F.size("kept") > 0, F.col("kept")).otherwise(F.col("blocks"))
-    text = F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
-    return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    low = written(importance(table).where((F.col("importance") < threshold) & (F.col("pages") >= least_pages)
+                                          & (F.col("share") < HALF)).select("host", "path"), "low_branches")
+    by_host: dict[str, set[int]] | None = None
+    rows = table.select("page_id", "url", "host", "blocks")
+    if low.count() <= broadcast_paths:
+        by_host = {}
+        for r in low.collect():
+            by_host.setdefault(r.host, set()).add(r.path)
+        rows = rows.withColumn("low", F.lit(None).cast("array<bigint>"))
+    else:
+        paths = F.array_distinct(F.flatten("blocks.paths"))
+        gone = (table.select("uid", "host", F.explode(paths).alias("path")).join(low, ["host", "path"])
+                .groupBy("uid").agg(F.collect_set("path").alias("low")))
+        rows = table.join(gone, "uid", "left").select("page_id", "url", "host", "blocks", "low")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for name, blocks, own in zip(b["host"].to_pylist(), b["blocks"].to_pylist(), b["low"].to_pylist()):
+                lost = set(own or ()) if by_host is None else by_host.get(name, frozenset())
+                texts.append("\n".join(x["text"] for x in (_kept(blocks, lost) if lost else blocks)))
+            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string()),
+                                              pa.array([len(t) for t in texts], pa.int64())],
+                                             ["page_id", "url", "text", "n_chars"])
+
+    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -165,6 +165,7 @@ def test_template_of_a_host_is_found_by_what_its_pages_share(spark):
     rows += [(200, None, "<p>alone &eacute; </p>"), (201, "http://[bad", None), (202, "http://h.example/e", "")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string")
     got = {r.page_id: r.text for r in site_tree.extract(pages).collect()}
+    assert got == {r.page_id: r.text for r in site_tree.extract(pages, broadcast_paths=0).collect()}
     assert all(got[n] == f"Text {('page %d ' % n) * 5}is the only one\nmore of {('page %d ' % n) * 5}".strip()
                .replace("  ", " ") for n in range(40))
     assert got[100] == got[0] and got[200] == "alone é" and got[201] == got[202] == ""
