@@ -10,9 +10,9 @@ it must. No index and no order of files is needed.
 
 Of records with one payload of `LEAST` bytes or more, the one with the largest
 page_id is a response and the others are revisits of it. The choice is made by
-aggregation before any page is shuffled, and the page table is joined with the
-chosen ones only for payloads that occur more than once, so a payload that a
-third of all pages share is split like any other rows.
+aggregation of digests, for payloads that occur more than once. If these are
+few the pages are not shuffled at all; else they meet in a join, where a
+payload that a third of all pages share is split like any other rows.
 
 Defined cases: a null html is an empty payload; null page_ids are lowest in
 order; of rows alike in id, url and payload one is the response and the rest
@@ -41,6 +41,8 @@ from .common import shared_path, arrow_tasks, written
 LEAST = 1000
 SPLIT = 4 << 20
 READ = 1 << 18
+#: So many chosen responses, of about 100 bytes, go to every task; more meet the pages in a join.
+BROADCAST_ROWS = 100_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = b"\x1f\x8b\x08"
@@ -168,22 +170,26 @@ def records_in(file, start: int, end: int) -> Iterator[dict]:
 
 # ---------------------------------------------------------------- Spark
 
-def planned(pages: DataFrame, least: int = LEAST) -> DataFrame:
+def planned(pages: DataFrame, least: int = LEAST, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """page_id, url, payload, digest, size and, for revisits, the response's id in ``keeper``."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = (pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"))
             .select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size")))
     alike = (rows.where(F.col("size") >= least).groupBy("digest", "page_id", "url")
              .agg(F.count(F.lit(1)).alias("n")))
-    chosen = (alike.groupBy("digest").agg(F.max(F.struct("page_id", "url", "n")).alias("best"), F.sum("n").alias("all"))
-              .where("all > 1").select("digest", "best"))
-    joined = rows.join(chosen, "digest", "left")
+    chosen = written(alike.groupBy("digest")
+                     .agg(F.max(F.struct("page_id", "url", "n")).alias("best"), F.sum("n").alias("all"))
+                     .where("all > 1").select("digest", "best"), "responses")
+    known = F.broadcast(chosen) if chosen.count() <= broadcast_rows else chosen
+    joined = rows.join(known, "digest", "left")
     best = (F.col("best").isNotNull() & F.col("page_id").eqNullSafe(F.col("best.page_id"))
             & F.col("url").eqNullSafe(F.col("best.url")))
     keeper = F.when(F.col("best").isNotNull(), F.struct(F.col("best.page_id").alias("page_id")))
     cols = ["page_id", "url", "payload", "digest", "size"]
-    single = joined.where(~best | (F.col("best.n") == 1)).select(*cols, F.when(~best, keeper).alias("keeper"))
+    if chosen.where("best.n > 1").limit(1).count() == 0:
+        return joined.select(*cols, F.when(~best, keeper).alias("keeper"))
     # Rows alike in id, url and payload: one response, the others revisits of it.
+    single = joined.where(~best | (F.col("best.n") == 1)).select(*cols, F.when(~best, keeper).alias("keeper"))
     copies = (joined.where(best & (F.col("best.n") > 1)).groupBy("page_id", "url", "digest", "size")
               .agg(F.min("payload").alias("payload"), F.count(F.lit(1)).alias("n"))
               .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))))
