@@ -1,32 +1,40 @@
 """Main text of web pages by a site style tree.
 
 Pages of one host are merged into one tree. A node is the way from the root to
-an element, each step its tag with its class and id; under it lie the styles
+an element, each step its tag with its class and id; at it stand the styles
 (sequences of child elements) and the texts that pages have there. What the
 pages of a host have alike at a node is template, what differs is content: a
 text that k of the node's m pages share has importance 1 - log k / log m, the
 styles of a node have the entropy of their distribution to the base m, and a
-branch has the mean of its texts' importance, joined with that of its own
-styles. Branches of low importance are removed from each page.
-
-Two rules frame this. Elements whose tag, class, id or role names a part that
-never is main text (menus, forms, adverts, ...) do not take part, which also
-serves hosts with few pages, where there is nothing to compare. And a branch
-is kept if it is the plain prose of an ``article`` or ``main`` element or
-holds half of its host's text: copies of an article are not template.
+node has the mean of its texts' importance, joined with that of its styles. A
+branch is noise if all nodes in it are, so each node is judged by what stands
+directly at it: the texts of nodes of low importance are removed, and single
+texts that nearly all pages of their node share (`LEAF`), inside ``article``
+and ``main`` as outside.
+
+``article`` and ``main`` only weigh: their nodes have `MAIN` added to their
+importance, and a page's text outside of them stays unless the tree removes it.
+Elements whose tag, class, id or role names a part that never is main text
+(menus, forms, adverts, ...) do not take part, which also serves hosts with few
+pages, where there is nothing to compare.
+
+Copies of an article, also near copies, are not template: of the pages of a
+host that have the same sampled block, one counts. A page samples its blocks by
+a hash weighted with their lengths, so pages that share most of their text
+mostly sample the same block, and pages that share a template seldom do.
 
 The trees of all hosts are built by grouping on (host, node, text), so a host
-with a third of all pages is spread like any other; equal pages of a host count
-as one.
+with a third of all pages is spread like any other.
 
 Defined cases: null and empty html give an empty text; a null or malformed url
-has the host ''; a host with fewer than `LEAST_PAGES` pages at a node keeps
-that node; unclosed and cut-off markup is closed where it ends; repeated rows
+has the host ''; a host with fewer than `LEAST_PAGES` counted pages at a node
+keeps that node; a page that is all template has an empty text; unclosed and cut-off markup is closed where it ends; repeated rows
 come out each; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -43,8 +51,11 @@ from .common import arrow_tasks, written
 LEAST_PAGES = 8
 THRESHOLD = 0.35
 STYLE_WEIGHT = 0.25
-HALF = 0.5
-#: So many (host, branch) pairs of 16 bytes go to every task; more meet their pages in a join.
+#: Added to the importance of nodes in ``article`` and ``main``.
+MAIN = 0.25
+#: A single text of less importance is template: more than m ** 0.9 of m pages have it.
+LEAF = 0.1
+#: So many marked (host, node or text) go to every task; more meet their pages in a join.
 BROADCAST_PATHS = 200_000
 
 # Kinds of elements.
@@ -83,25 +94,25 @@ def _hash(*parts: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "plain", "children", "up")
+    __slots__ = ("tag", "path", "noise", "main", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool, plain: bool, up: tuple):
-        self.tag, self.path, self.noise, self.main, self.plain, self.up = tag, path, noise, main, plain, up
+    def __init__(self, tag: str, path: int, noise: bool, main: bool):
+        self.tag, self.path, self.noise, self.main = tag, path, noise, main
         self.children: list[str] = []
 
 
 class PageTree(HTMLParser):
     """Text blocks and element styles of one page.
 
-    ``blocks``: (text, paths from the root on, inside main text, plain prose of it);
+    ``blocks``: (text, path of its element, inside ``article`` or ``main``);
     ``styles``: (path, children) of the elements that may hold main text.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
+        self.blocks: list[tuple[str, int, bool]] = []
         self.styles: list[tuple[int, int]] = []
-        self.stack = [_Node("", 0, False, False, False, ())]
+        self.stack = [_Node("", 0, False, False)]
         self.text: list[str] = []
         self.feed(_CUT_TAG.sub("", html))
         self.close()
@@ -114,7 +125,7 @@ class PageTree(HTMLParser):
         self.text.clear()
         node = next(n for n in reversed(self.stack) if n.tag not in INLINE)
         if text and not node.noise:
-            self.blocks.append((text, (*node.up, node.path), node.main, node.plain))
+            self.blocks.append((text, node.path, node.main))
 
     def _pop(self) -> None:
         node = self.stack[-1]
@@ -148,17 +159,15 @@ class PageTree(HTMLParser):
         up = self.stack[-1]
         given = {k: (v or "") for k, v in attrs}
         names = f"{given.get('class', '')} {given.get('id', '')}".strip()
-        marked = bool(names)
         noise = up.noise or self._is_noise(tag, names, given, up)
         if tag in INLINE:
-            node = _Node(tag, up.path, noise, up.main, up.plain and not marked, up.up)
+            node = _Node(tag, up.path, noise, up.main)
         else:
             step = f"{tag} {names}"
             if len(up.children) < 10_000 and (not up.children or up.children[-1] != step):
                 up.children.append(step)  # a run of like children is one
             main = up.main or tag in ("article", "main") or given.get("role") == "main"
-            plain = main and (not up.main or (up.plain and not marked))
-            node = _Node(tag, _hash(str(up.path), step), noise, main, plain, (*up.up[-40:], up.path))
+            node = _Node(tag, _hash(str(up.path), step), noise, main)
         self.stack.append(node)
 
     @staticmethod
@@ -191,12 +200,20 @@ class PageTree(HTMLParser):
 
 
 def page(html: str | None) -> tuple[list, list]:
-    """Blocks and styles of a page; blocks outside its article are left out where it has one with text."""
+    """Blocks and styles of a page."""
     if not html:
         return [], []
     tree = PageTree(html)
-    inside = [b for b in tree.blocks if b[2]]
-    return inside or tree.blocks, tree.styles
+    return tree.blocks, tree.styles
+
+
+def sampled(blocks: list[tuple]) -> int | None:
+    """Name of one of the blocks: each is it with a chance of its share of the page's text, and pages agree on it."""
+    if not blocks:
+        return None
+    names = [_hash(b[0]) for b in blocks]
+    return min(zip(names, blocks), key=lambda x: (-math.log(((x[0] & (1 << 53) - 1) + 1) / (1 << 53) + 1e-17)
+                                                  / len(x[1][0]), x[0]))[0]
 
 
 def host(url: str | None) -> str:
@@ -206,110 +223,127 @@ def host(url: str | None) -> str:
         return ""
 
 
-_BLOCK = T.StructType([T.StructField("text", T.StringType()), T.StructField("paths", T.ArrayType(T.LongType())),
-                       T.StructField("plain", T.BooleanType()), T.StructField("name", T.LongType())])
+_BLOCK = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.LongType()),
+                       T.StructField("main", T.BooleanType()), T.StructField("name", T.LongType())])
 _STYLE = T.StructType([T.StructField("path", T.LongType()), T.StructField("style", T.LongType())])
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, a name of the html, blocks and styles of every row."""
+    """page_id, url, host, a name of the html, its sampled block, blocks and styles of every row."""
     arrow_tasks(pages.sparkSession)
-    block = pa.struct([("text", pa.string()), ("paths", pa.list_(pa.int64())), ("plain", pa.bool_()),
-                       ("name", pa.int64())])
+    block = pa.struct([("text", pa.string()), ("path", pa.int64()), ("main", pa.bool_()), ("name", pa.int64())])
     style = pa.struct([("path", pa.int64()), ("style", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, names, blocks, styles = [], [], [], []
+            hosts, names, samples, blocks, styles = [], [], [], [], []
             for url, html in zip(b["url"].to_pylist(), b["html"].to_pylist()):
                 found, looks = page(html)
                 hosts.append(host(url))
                 names.append(_hash(html or ""))
-                blocks.append([{"text": t, "paths": list(p), "plain": plain, "name": _hash(t)}
-                               for t, p, _, plain in found])
+                samples.append(sampled(found))
+                blocks.append([{"text": t, "path": p, "main": main, "name": _hash(t)} for t, p, main in found])
                 styles.append([{"path": p, "style": s} for p, s in set(looks)])
             yield pa.RecordBatch.from_arrays(
                 [b["page_id"], b["url"], pa.array(hosts, pa.string()), pa.array(names, pa.int64()),
-                 pa.array(blocks, pa.list_(block)), pa.array(styles, pa.list_(style))],
-                ["page_id", "url", "host", "name", "blocks", "styles"])
+                 pa.array(samples, pa.int64()), pa.array(blocks, pa.list_(block)), pa.array(styles, pa.list_(style))],
+                ["page_id", "url", "host", "name", "sample", "blocks", "styles"])
 
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
                            T.StructField("host", T.StringType()), T.StructField("name", T.LongType()),
-                           T.StructField("blocks", T.ArrayType(_BLOCK)), T.StructField("styles", T.ArrayType(_STYLE))])
+                           T.StructField("sample", T.LongType()), T.StructField("blocks", T.ArrayType(_BLOCK)), T.StructField("styles", T.ArrayType(_STYLE))])
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, schema)
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """(host, path, importance, pages, share) of every branch of the hosts' trees over `parsed` pages."""
-    # Equal pages of a host count once; only names and lengths are shuffled, never texts.
-    slim = F.transform("blocks", lambda b: F.struct(b["paths"].alias("paths"), b["name"].alias("name"),
-                                                    F.length(b["text"]).alias("size")))
-    once = pages.select("host", "name", slim.alias("blocks"), "styles").dropDuplicates(["host", "name"])
-    texts = once.select("host", F.col("name").alias("page"), F.explode("blocks").alias("b")).select(
-        "host", "page", F.col("b.paths").alias("paths"), F.col("b.name").alias("text"), F.col("b.size").alias("size"))
-    own = F.element_at("paths", -1)
+def _counted(pages: DataFrame) -> DataFrame:
+    """host, page, blocks (path, main, name) and styles of the pages that count: one of those with one sampled block."""
+    # Only names are shuffled, never texts.
+    slim = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["main"].alias("main"),
+                                                    b["name"].alias("name")))
+    first = (pages.where(F.col("sample").isNotNull()).groupBy("host", "sample").agg(F.min("name").alias("name"))
+             .select("host", "name"))
+    return (pages.select("host", "name", slim.alias("blocks"), "styles").join(first, ["host", "name"], "left_semi")
+            .dropDuplicates(["host", "name"]).withColumnRenamed("name", "page"))
+
+
+def importance(once: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Over `_counted` pages: (host, path, main, importance, pages) of the nodes, (host, path, text, importance, pages) of the texts."""
+    texts = once.select("host", "page", F.explode("blocks").alias("b")).select(
+        "host", "page", F.col("b.path").alias("path"), F.col("b.main").alias("main"), F.col("b.name").alias("text"))
     # k: pages that have this text at this node; the same text twice on a page counts twice in the mean, once in k.
-    shared = (texts.withColumn("path", own).groupBy("host", "path", "paths", "text", "page")
-              .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-              .groupBy("host", "path", "paths", "text")
-              .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("size").alias("size")))
-    branch_pages = (once.select("host", "name", F.explode(F.array_distinct(F.flatten("blocks.paths"))).alias("path"))
-                    .groupBy("host", "path").agg(F.count(F.lit(1)).alias("m")))
-    mass = texts.groupBy("host").agg(F.sum("size").alias("all"))
-    # Summed over each branch before it meets the branch's number of pages: a host's root has all its texts.
-    low = (shared.withColumn("branch", F.explode(F.array_distinct("paths"))).groupBy("host", "branch")
-           .agg(F.sum(F.col("n") * F.log("k")).alias("alike"), F.sum("n").alias("n"), F.sum("size").alias("size"))
-           .join(branch_pages.withColumnRenamed("path", "branch"), ["host", "branch"])
-           .select("host", "branch", F.col("m").alias("pages"), "size",
-                   F.when(F.col("m") > 1, 1 - F.col("alike") / (F.log("m") * F.col("n")))
-                   .otherwise(F.lit(1.0)).alias("content")))
-    styles = (once.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("branch"),
-                                                                         F.col("s.style").alias("style"))
-              .agg(F.count(F.lit(1)).alias("n")).groupBy("host", "branch")
+    shared = (texts.groupBy("host", "path", "text", "page").agg(F.count(F.lit(1)).alias("n"), F.max("main").alias("main"))
+              .groupBy("host", "path", "text")
+              .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("main").alias("main")))
+    node_pages = (once.select("host", F.explode(F.array_distinct("blocks.path")).alias("path"))
+                  .groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages")))
+    content = (shared.groupBy("host", "path")
+               .agg(F.sum(F.col("n") * F.log("k")).alias("alike"), F.sum("n").alias("n"), F.max("main").alias("main"))
+               .join(node_pages, ["host", "path"])
+               .select("host", "path", "main", "pages",
+                       F.when(F.col("pages") > 1, 1 - F.col("alike") / (F.log("pages") * F.col("n")))
+                       .otherwise(F.lit(1.0)).alias("content")))
+    styles = (once.select("host", F.explode("styles").alias("s"))
+              .groupBy("host", F.col("s.path").alias("path"), F.col("s.style").alias("style"))
+              .agg(F.count(F.lit(1)).alias("n")).groupBy("host", "path")
               .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-              .select("host", "branch", F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.log("m")))
+              .select("host", "path", F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.log("m")))
                       .otherwise(F.lit(1.0)).alias("style")))
     weight = F.when(F.col("style").isNull(), F.lit(0.0)).otherwise(F.lit(STYLE_WEIGHT))
     score = weight * F.coalesce("style", F.lit(0.0)) + (1 - weight) * F.col("content")
-    return (low.join(styles, ["host", "branch"], "left").join(mass, "host")
-            .select("host", F.col("branch").alias("path"), score.alias("importance"), "pages",
-                    (F.col("size") / F.col("all")).alias("share")))
+    nodes = content.join(styles, ["host", "path"], "left").select("host", "path", "main", "pages",
+                                                                  score.alias("importance"))
+    leaves = (shared.join(node_pages, ["host", "path"])
+              .select("host", "path", "text", "pages",
+                      F.when(F.col("pages") > 1, 1 - F.log("k") / F.log("pages")).otherwise(F.lit(1.0)).alias("importance")))
+    return nodes, leaves
 
 
 def _kept(blocks: list[dict], low: frozenset | set) -> list[dict]:
-    """Blocks that no branch of ``low`` holds. A page that would lose everything was all template; it keeps what it has."""
-    return [b for b in blocks if b["plain"] or low.isdisjoint(b["paths"])] or blocks
+    """Blocks whose node and text are not in ``low``, a set of (path, null) and (path, text)."""
+    return [b for b in blocks if (b["path"], None) not in low and (b["path"], b["name"]) not in low]
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES,
             broadcast_paths: int = BROADCAST_PATHS) -> DataFrame:
     """page_id, url, text, n_chars of every row of (page_id, url, html).
 
-    The branches to remove go to every task if they are no more than
-    ``broadcast_paths``; else pages and their branches meet in a join.
+    The nodes and texts to remove go to every task if they are no more than
+    ``broadcast_paths``; else pages and their nodes meet in a join.
     """
     table = written(parsed(pages).withColumn("uid", F.monotonically_increasing_id()), "page_trees")
-    low = written(importance(table).where((F.col("importance") < threshold) & (F.col("pages") >= least_pages)
-                                          & (F.col("share") < HALF)).select("host", "path"), "low_branches")
-    by_host: dict[str, set[int]] | None = None
+    nodes, leaves = importance(written(_counted(table), "counted_pages"))
+    weighed = F.col("importance") + F.when(F.col("main"), F.lit(MAIN)).otherwise(F.lit(0.0))
+    low = written(nodes.where((weighed < threshold) & (F.col("pages") >= least_pages))
+                  .select("host", "path", F.lit(None).cast("long").alias("text"))
+                  .unionByName(leaves.where((F.col("importance") < LEAF) & (F.col("pages") >= least_pages))
+                               .select("host", "path", "text")), "low_nodes")
+    by_host: dict[str, set[tuple]] | None = None
     rows = table.select("page_id", "url", "host", "blocks")
     if low.count() <= broadcast_paths:
         by_host = {}
         for r in low.collect():
-            by_host.setdefault(r.host, set()).add(r.path)
-        rows = rows.withColumn("low", F.lit(None).cast("array<bigint>"))
+            by_host.setdefault(r.host, set()).add((r.path, r.text))
+        rows = rows.withColumn("low", F.lit(None).cast("array<struct<path:bigint,text:bigint>>"))
     else:
-        paths = F.array_distinct(F.flatten("blocks.paths"))
-        gone = (table.select("uid", "host", F.explode(paths).alias("path")).join(low, ["host", "path"])
-                .groupBy("uid").agg(F.collect_set("path").alias("low")))
+        # A node's row meets its blocks by a null text, a single text's row by its name.
+        own = F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.array(
+            F.struct(b["path"].alias("path"), F.lit(None).cast("long").alias("text")),
+            F.struct(b["path"].alias("path"), b["name"].alias("text"))))))
+        asked = table.select("uid", "host", F.explode(own).alias("o")).select("uid", "host", "o.path", "o.text").alias("a")
+        found = low.alias("l")
+        gone = (asked.join(found, (F.col("a.host") == F.col("l.host")) & (F.col("a.path") == F.col("l.path"))
+                           & F.col("a.text").eqNullSafe(F.col("l.text")))
+                .groupBy("a.uid").agg(F.collect_list(F.struct(F.col("a.path").alias("path"),
+                                                              F.col("a.text").alias("text"))).alias("low")))
         rows = table.join(gone, "uid", "left").select("page_id", "url", "host", "blocks", "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
             for name, blocks, own in zip(b["host"].to_pylist(), b["blocks"].to_pylist(), b["low"].to_pylist()):
-                lost = set(own or ()) if by_host is None else by_host.get(name, frozenset())
-                texts.append("\n".join(x["text"] for x in (_kept(blocks, lost) if lost else blocks)))
+                lost = ({(x["path"], x["text"]) for x in own or ()} if by_host is None
+                        else by_host.get(name, frozenset()))
+                texts.append("\n".join(x["text"] for x in _kept(blocks, lost)))
             yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

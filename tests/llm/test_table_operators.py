@@ -172,6 +172,20 @@ def test_template_of_a_host_is_found_by_what_its_pages_share(spark):
     assert site_tree.extract(pages.limit(0)).count() == 0
 
 
+def test_importance_decides_inside_and_outside_article(spark):
+    body = ("<p>Opening of {n}</p><article class=card><p>Teaser {n}</p></article><article><p>Story {n} is told here at length</p>"
+            "<p>Write to our desk</p></article><div class=q><p>Offers of the week</p></div>")
+    rows = [(n, f"http://h.example/{n}", body.format(n=f"number {n}")) for n in range(40)]
+    # Pages of one story that differ in one line: what they share is no template.
+    near = "".join(f"<p>Paragraph {i} of the one story, told at length</p>" for i in range(30))
+    rows += [(100 + n, f"http://n.example/{n}", f"<article>{near}<p>Seen {n}</p></article>") for n in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in site_tree.extract(pages).collect()}
+    assert all(got[n] == [f"Opening of number {n}", f"Teaser number {n}", f"Story number {n} is told here at length"]
+               for n in range(40))
+    assert all(len(got[100 + n]) == 31 for n in range(40))
+
+
 # ---------------------------------------------------------------- archives
 
 def _member(i, payload, revisit=None):
