@@ -13,7 +13,8 @@ edges of all of them that it has not followed yet, until none is left. All
 queries search at once; a step is a join with the graph and one with the vectors.
 
 Every valid vector is indexed. Distances are Euclidean, in double precision on
-the original components.
+the original components, also in the graph; where the products of two vectors
+nearly cancel, from their differences.
 
 Defined cases: vectors that are null, empty or zero, or hold a null or
 non-finite component, and rows with a null id take no part, as candidates or
@@ -45,17 +46,28 @@ CELL = 4096
 MOST_CELLS = 1024
 LEAF = 2048
 BLOCK = 256
+PAIRS = 16_384
 
 
 # ---------------------------------------------------------------- numpy
 
+def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of the rows of ``a`` from those of ``b``; from the differences where products cancel."""
+    both = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None]
+    d = both - 2 * (a @ b.T)
+    r, c = np.nonzero(d < 1e-6 * both)
+    for i in range(0, len(r), PAIRS):
+        gap = a[r[i: i + PAIRS]] - b[c[i: i + PAIRS]]
+        d[r[i: i + PAIRS], c[i: i + PAIRS]] = (gap * gap).sum(axis=1)
+    return d
+
+
 def nearest(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and squared distances of the k nearest others of each row of ``x``, a block of rows at a time."""
     k = min(k, len(x) - 1)
-    sq = (x * x).sum(axis=1)
     at, near = np.empty((len(x), k), np.int64), np.empty((len(x), k))
     for i in range(0, len(x), BLOCK):
-        d = np.maximum(sq[i: i + BLOCK, None] + sq[None] - 2 * (x[i: i + BLOCK] @ x.T), 0)
+        d = squared(x[i: i + BLOCK], x)
         d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
         at[i: i + BLOCK] = np.argpartition(d, k - 1, axis=1)[:, :k]
         near[i: i + BLOCK] = np.take_along_axis(d, at[i: i + BLOCK], axis=1)
@@ -142,9 +154,7 @@ def valid(vector: Column) -> Column:
 
 
 class Vectors:
-    """The vectors that take part: ``rows`` (vec_id, node), ``nodes`` (node, vec, code).
-
-    ``vec``: the components as bytes; ``code``: the same over ``scale``, in half precision, for the graph.
+    """The vectors that take part: ``rows`` (vec_id, node), ``nodes`` (node, vec); ``vec``: the components as bytes.
     """
 
     def __init__(self, table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"):
@@ -156,9 +166,8 @@ class Vectors:
         rows = (table.select(F.col(id_col).cast("long").alias("vec_id"),
                              F.col(vector_col).cast(f"array<{kind}>").alias("x"))
                 .where(F.col("vec_id").isNotNull() & valid(F.col("x"))))
-        largest = F.max(F.array_max(F.transform("x", F.abs))).cast("double")
-        self.size, self.scale = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0)), F.coalesce(largest, F.lit(1.0))).first()
-        size, scale, dtype = self.size, self.scale, self.dtype
+        self.size = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0))).first()[0]
+        size, dtype = self.size, self.dtype
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -168,15 +177,12 @@ class Vectors:
                     padded[: len(v)] = v
                     out.append((padded + 0.0).astype(dtype))  # -0.0 becomes 0.0
                 yield pa.RecordBatch.from_arrays(
-                    [b["vec_id"], pa.array([v.tobytes() for v in out], pa.binary()),
-                     pa.array([(v / scale).astype("<f2").tobytes() for v in out], pa.binary())],
-                    ["vec_id", "vec", "code"])
+                    [b["vec_id"], pa.array([v.tobytes() for v in out], pa.binary())], ["vec_id", "vec"])
 
-        packed = rows.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(
-            pack, "vec_id long, vec binary, code binary")
+        packed = rows.groupBy("vec_id").agg(F.min("x").alias("x")).mapInArrow(pack, "vec_id long, vec binary")
         packed = written(packed, "vectors")
-        self.nodes = written(packed.groupBy("vec").agg(F.min("vec_id").alias("node"), F.min("code").alias("code"))
-                             .select("node", "vec", "code"), "nodes")
+        self.nodes = written(packed.groupBy("vec").agg(F.min("vec_id").alias("node"))
+                             .select("node", "vec"), "nodes")
         self.rows = written(packed.join(self.nodes.select("node", "vec"), "vec").select("vec_id", "node"), "members")
 
 
@@ -215,7 +221,7 @@ def first_edges(vectors: Vectors, k: int = EDGES, trees: int = TREES) -> DataFra
 
 def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
     """One round of NN-descent over (node, to, d)."""
-    unit = vectors.scale ** 2
+    dtype = vectors.dtype
     far = edges.groupBy("node").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("n"))
     far = far.select(F.col("node").alias("member"), F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")).alias("far"))
     # In-edges: the k nearest of each node, so that a hub does not grow.
@@ -223,10 +229,10 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
     around = (edges.select(F.col("node").alias("at"), F.col("to").alias("member"))
               .unionByName(back.select("at", F.col("to").alias("member")))
               .unionByName(vectors.nodes.select(F.col("node").alias("at"), F.col("node").alias("member"))).distinct())
-    known = vectors.nodes.select(F.col("node").alias("member"), "code").join(far, "member", "left")
+    known = vectors.nodes.select(F.col("node").alias("member"), "vec").join(far, "member", "left")
     held = (around.join(known, "member")
             .groupBy("at").agg(F.collect_list(F.struct("member", F.coalesce("far", F.lit(float("inf"))).alias("far"),
-                                                       "code")).alias("m")))  # 2 k + 1 at most
+                                                       "vec")).alias("m")))  # 2 k + 1 at most
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,14 +240,12 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
             ends = m.offsets.to_numpy() - m.offsets[0].as_py()
             flat = m.flatten()
             ids, limit = flat.field("member").to_numpy(), flat.field("far").to_numpy()
-            x = _matrix(flat.field("code"), "<f2") if len(flat) else np.zeros((0, 1))
+            x = _matrix(flat.field("vec"), dtype) if len(flat) else np.zeros((0, 1))
             out = []
             for i, j in zip(ends[:-1], ends[1:]):
                 if j - i < 2:
                     continue
-                y = x[i:j]
-                sq = (y * y).sum(axis=1)
-                d = np.maximum(sq[:, None] + sq[None] - 2 * (y @ y.T), 0) * unit
+                d = squared(x[i:j], x[i:j])
                 np.fill_diagonal(d, np.inf)
                 r, c = np.nonzero(d < limit[i:j, None])
                 out.append((ids[i:j][r], ids[i:j][c], d[r, c]))

@@ -134,6 +134,27 @@ def test_neighbours_of_hard_vectors(spark):
     assert nndescent.nearest_ids(table.where("vec_id = 300")).count() == 0
 
 
+@pytest.mark.parametrize("case", ["outlier", "near copies"])
+def test_a_round_keeps_exact_edges(spark, case):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(300, 16))
+    if case == "outlier":
+        x[0, 0] = 1e8
+    else:
+        x[:] = x[0] + 1e-12 * x
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    want = {i: set(np.argsort(d[i])[:5].tolist()) for i in range(300)}
+    vectors = nndescent.Vectors(table)
+    for edges in (nndescent.first_edges(vectors, 5, 1), nndescent.build(vectors, 5, 1)):
+        got = {}
+        for e in edges.collect():
+            got.setdefault(e.node, set()).add(e.to)
+            assert abs(e.d - d[e.node, e.to]) <= 1e-6 * d[e.node, e.to]
+        assert got == want
+
+
 # ---------------------------------------------------------------- pages
 
 def test_main_text_of_the_tables_pages(spark):
