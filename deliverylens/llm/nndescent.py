@@ -2,11 +2,14 @@
 
 Equal vectors are one node of the graph. Its first edges come from random
 projection trees: the top of each tree, chosen on a bounded sample (`SAMPLE`),
-deals the nodes to cells; a task goes on splitting its cell and compares each
-leaf. Then NN-descent improves the graph in `ROUNDS` rounds: around every node
-the ends of its edges, in and out, are joined with their vectors, and each pair
-of them that is nearer than the farthest edge of one of the two becomes an edge
-of it. The neighbours of neighbours thus meet in one shuffle of vectors a round.
+deals the nodes to cells, and cells that stay large are halved by jobs until
+none has more than `CELL_LIMIT` nodes; a task goes on splitting its cell and
+compares each leaf. The number of trees grows with the nodes (`trees_for`). Then
+NN-descent improves the graph until a round changes less than `STOP` of its
+edges: around every node the ends of its edges, in and out, are joined with
+their vectors, and each pair of them that has not met there before and is nearer
+than the farthest edge of one of the two becomes an edge of it. Of the edges
+into a node the nearest `EDGES` count, so a hub does not gather the table.
 
 A search keeps the nearest `BEAM` nodes found for each query, and follows the
 edges of all of them that it has not followed yet, until none is left. All
@@ -38,12 +41,15 @@ from .common import arrow_tasks, hash_sample, written
 
 EDGES = 32
 TREES = 8
-ROUNDS = 2
+#: The graph is done when a round changes less than this share of its edges.
+STOP = 0.01
 BEAM = 96
 ENTRIES = 16
 SAMPLE = 8192
 CELL = 4096
-MOST_CELLS = 1024
+#: Cells of the top that the driver builds; larger cells than this are halved by jobs.
+TOP_CELLS = 1024
+CELL_LIMIT = 4 * CELL
 LEAF = 2048
 BLOCK = 256
 PAIRS = 16_384
@@ -193,21 +199,64 @@ def _best(pairs: DataFrame, by: str, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
 
 
-def first_edges(vectors: Vectors, k: int = EDGES, trees: int = TREES) -> DataFrame:
+def trees_for(n: int) -> int:
+    """Trees over ``n`` nodes: one more for each doubling beyond what `TREES` trees serve."""
+    return TREES + max(0, int(np.ceil(np.log2(max(1, n) / (TREES * 4 * LEAF)))))
+
+
+def halved(dealt: DataFrame, vectors: Vectors, limit: int) -> DataFrame:
+    """(tree, cell, node) with every cell of more than ``limit`` nodes split until none is left.
+
+    A level splits all of them at once: each between two of its nodes, chosen by hash, at about the median.
+    """
+    nodes, dtype, level = vectors.nodes, vectors.dtype, 0
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.zeros(0)
+            if b.num_rows:
+                at = (_matrix(b["vec"], dtype) * (_matrix(b["a"], dtype) - _matrix(b["b"], dtype))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([b["tree"], b["cell"], b["node"], pa.array(at, pa.float64())],
+                                             ["tree", "cell", "node", "at"])
+
+    while True:
+        h = F.xxhash64("node", F.lit(level))
+        large = written(dealt.groupBy("tree", "cell").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", h).alias("one"),
+                                                          F.max_by("node", h).alias("two"))
+                        .where(F.col("n") > limit).drop("n"), "large_cells")
+        if large.limit(1).count() == 0:
+            return dealt
+        end = lambda name, vec: nodes.select(F.col("node").alias(name), F.col("vec").alias(vec))
+        ends = large.join(end("one", "a"), "one").join(end("two", "b"), "two").select("tree", "cell", "a", "b")
+        at = written(dealt.join(ends, ["tree", "cell"]).join(nodes, "node").select("tree", "cell", "node", "vec", "a", "b")
+                     .mapInArrow(projected, "tree int, cell long, node long, at double"), "projected")
+        cuts = at.groupBy("tree", "cell").agg(F.percentile_approx("at", 0.5).alias("cut"), F.min("at").alias("least"),
+                                              F.max("at").alias("most"))
+        # Where all lie at the cut there is no direction: such cells are halved by hash.
+        side = (F.when(F.col("most") > F.col("least"), F.when(F.col("cut") < F.col("most"), F.col("at") <= F.col("cut"))
+                       .otherwise(F.col("at") < F.col("cut"))).otherwise(F.pmod(h, F.lit(2)) == 0))
+        split = at.join(cuts, ["tree", "cell"]).select("tree", F.xxhash64("cell", side).alias("cell"), "node")
+        dealt = written(dealt.join(large, ["tree", "cell"], "left_anti").select("tree", "cell", "node")
+                        .unionByName(split), "cells")
+        level += 1
+
+
+def first_edges(vectors: Vectors, k: int = EDGES, trees: int | None = None, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """(node, to, d) from the leaves of random projection trees; d is the squared distance."""
     nodes, dtype = vectors.nodes, vectors.dtype
     n = nodes.count()
     sample = [bytes(r.vec) for r in hash_sample(nodes.select("node", "vec"), SAMPLE, "node").collect()]
-    cells = min(MOST_CELLS, -(-n // CELL))
-    tops = [build_tree(_matrix(sample, dtype), cells, seed) if sample else [] for seed in range(trees)]
+    cells = min(TOP_CELLS, -(-n // CELL))
+    tops = [build_tree(_matrix(sample, dtype), cells, seed) if sample else []
+            for seed in range(trees_for(n) if trees is None else trees)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _matrix(b["vec"], dtype) if b.num_rows else np.zeros((0, 1))
             for t, top in enumerate(tops):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t), pa.int32()),
-                                                  pa.array(cells_of(x, top), pa.int64()), b["node"], b["vec"]],
-                                                 ["tree", "cell", "node", "vec"])
+                                                  pa.array(cells_of(x, top), pa.int64()), b["node"]],
+                                                 ["tree", "cell", "node"])
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("node")
@@ -215,24 +264,40 @@ def first_edges(vectors: Vectors, k: int = EDGES, trees: int = TREES) -> DataFra
         a, b, d = cell_edges(_matrix(table["vec"], dtype), k, int(table["tree"][0].as_py()))
         return pa.table({"node": ids[a], "to": ids[b], "d": d})
 
-    dealt = nodes.select("node", "vec").mapInArrow(deal, "tree int, cell long, node long, vec binary")
+    dealt = written(nodes.select("node", "vec").mapInArrow(deal, "tree int, cell long, node long"), "cells")
+    dealt = halved(dealt, vectors, cell_limit).join(nodes, "node").select("tree", "cell", "node", "vec")
     return _best(dealt.groupBy("tree", "cell").applyInArrow(compare, "node long, to long, d double"), "node", k)
 
 
-def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
-    """One round of NN-descent over (node, to, d)."""
+def surroundings(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
+    """(at, member): every node with the ends of its edges, out and in, and itself."""
+    # In-edges: the k nearest of each node, so that a hub does not grow.
+    back = _best(edges.select(F.col("to").alias("at"), F.col("node").alias("to"), "d"), "at", k)
+    return (edges.select(F.col("node").alias("at"), F.col("to").alias("member"))
+            .unionByName(back.select("at", F.col("to").alias("member")))
+            .unionByName(vectors.nodes.select(F.col("node").alias("at"), F.col("node").alias("member"))).distinct())
+
+
+def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES, around: DataFrame | None = None,
+             met: DataFrame | None = None) -> DataFrame:
+    """One round of NN-descent over (node, to, d).
+
+    ``around``: the `surroundings` of the edges; ``met``: those of the round before, whose pairs have been compared.
+    """
     dtype = vectors.dtype
     far = edges.groupBy("node").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("n"))
     far = far.select(F.col("node").alias("member"), F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")).alias("far"))
-    # In-edges: the k nearest of each node, so that a hub does not grow.
-    back = _best(edges.select(F.col("to").alias("at"), F.col("node").alias("to"), "d"), "at", k)
-    around = (edges.select(F.col("node").alias("at"), F.col("to").alias("member"))
-              .unionByName(back.select("at", F.col("to").alias("member")))
-              .unionByName(vectors.nodes.select(F.col("node").alias("at"), F.col("node").alias("member"))).distinct())
+    around = surroundings(edges, vectors, k) if around is None else around
+    if met is None:
+        around = around.withColumn("fresh", F.lit(True))
+    else:
+        around = around.join(met.withColumn("old", F.lit(True)), ["at", "member"], "left").select(
+            "at", "member", F.col("old").isNull().alias("fresh"))
+        around = around.join(around.where("fresh").select("at").distinct(), "at", "left_semi")
     known = vectors.nodes.select(F.col("node").alias("member"), "vec").join(far, "member", "left")
     held = (around.join(known, "member")
             .groupBy("at").agg(F.collect_list(F.struct("member", F.coalesce("far", F.lit(float("inf"))).alias("far"),
-                                                       "vec")).alias("m")))  # 2 k + 1 at most
+                                                       "vec", "fresh")).alias("m")))  # 2 k + 1 at most
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -240,6 +305,7 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
             ends = m.offsets.to_numpy() - m.offsets[0].as_py()
             flat = m.flatten()
             ids, limit = flat.field("member").to_numpy(), flat.field("far").to_numpy()
+            fresh = flat.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
             x = _matrix(flat.field("vec"), dtype) if len(flat) else np.zeros((0, 1))
             out = []
             for i, j in zip(ends[:-1], ends[1:]):
@@ -247,7 +313,7 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
                     continue
                 d = squared(x[i:j], x[i:j])
                 np.fill_diagonal(d, np.inf)
-                r, c = np.nonzero(d < limit[i:j, None])
+                r, c = np.nonzero((d < limit[i:j, None]) & (fresh[i:j, None] | fresh[None, i:j]))
                 out.append((ids[i:j][r], ids[i:j][c], d[r, c]))
             cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "to", "d"])
@@ -255,12 +321,17 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES) -> DataFrame:
     return _best(edges.unionByName(held.select("m").mapInArrow(meet, "node long, to long, d double")), "node", k)
 
 
-def build(vectors: Vectors, k: int = EDGES, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
-    """(node, to, d): the graph after ``rounds`` rounds."""
+def build(vectors: Vectors, k: int = EDGES, trees: int | None = None, stop: float = STOP) -> DataFrame:
+    """(node, to, d): the graph after the first round that changes less than ``stop`` of its edges."""
     edges = written(first_edges(vectors, k, trees), "edges")
-    for _ in range(rounds):
-        edges = written(improved(edges, vectors, k), "edges")
-    return edges
+    met = None
+    while True:
+        around = written(surroundings(edges, vectors, k), "around")
+        after = written(improved(edges, vectors, k, around, met), "edges")
+        changed = after.join(edges.select("node", "to"), ["node", "to"], "left_anti").count()
+        edges, met = after, around
+        if changed <= stop * after.count():
+            return edges
 
 
 def distances(pairs: DataFrame, dtype: str) -> DataFrame:

@@ -155,6 +155,30 @@ def test_a_round_keeps_exact_edges(spark, case):
         assert got == want
 
 
+def test_rounds_go_on_until_few_edges_change(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(1500, 12))
+    monkeypatch.setattr(nndescent, "cell_edges", lambda x, k, seed: (  # poor first edges: a ring
+        np.arange(len(x)), (np.arange(len(x)) + 1) % len(x), ((x - np.roll(x, -1, axis=0)) ** 2).sum(axis=1)))
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    edges = nndescent.build(nndescent.Vectors(table), 16, 1).collect()
+    best = np.argsort(d, axis=1)[:, :16]
+    assert sum(e.to in best[e.node] for e in edges) >= 0.9 * best.size
+
+
+def test_no_cell_stays_large(spark):
+    x = np.random.default_rng(4).normal(size=(900, 4))
+    x[:500] = x[0] + 1e-9 * x[:500]
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    vectors = nndescent.Vectors(table)
+    dealt = vectors.nodes.selectExpr("cast(0 as int) AS tree", "cast(0 as long) AS cell", "node")
+    cells = nndescent.halved(dealt, vectors, 300).groupBy("cell").count().collect()
+    assert sum(c["count"] for c in cells) == 900 and max(c["count"] for c in cells) <= 300
+    assert nndescent.trees_for(10 ** 9) > nndescent.trees_for(10 ** 6) > nndescent.trees_for(1000)
+
+
 # ---------------------------------------------------------------- pages
 
 def test_main_text_of_the_tables_pages(spark):
