@@ -94,11 +94,12 @@ def _hash(*parts: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "children")
+    __slots__ = ("tag", "path", "noise", "main", "last", "children")
 
     def __init__(self, tag: str, path: int, noise: bool, main: bool):
         self.tag, self.path, self.noise, self.main = tag, path, noise, main
-        self.children: list[str] = []
+        self.last: str | None = None
+        self.children = xxhash.xxh64()  # of the child steps so far
 
 
 class PageTree(HTMLParser):
@@ -132,8 +133,9 @@ class PageTree(HTMLParser):
         if node.tag in BLOCK:
             self._flush()
         self.stack.pop()
-        if node.tag not in INLINE and not node.noise and node.children:
-            self.styles.append((node.path, _hash(*node.children)))
+        if node.tag not in INLINE and not node.noise and node.last is not None:
+            h = node.children.intdigest()
+            self.styles.append((node.path, h - (1 << 64) if h >> 63 else h))
 
     def _close(self, tags: set[str], scope: set[str]) -> None:
         """Close the nearest open element of ``tags`` unless one of ``scope`` stands before it."""
@@ -164,8 +166,9 @@ class PageTree(HTMLParser):
             node = _Node(tag, up.path, noise, up.main)
         else:
             step = f"{tag} {names}"
-            if len(up.children) < 10_000 and (not up.children or up.children[-1] != step):
-                up.children.append(step)  # a run of like children is one
+            if up.last != step:  # a run of like children is one
+                up.last = step
+                up.children.update(step.encode("utf-8", "surrogatepass") + b"\0")
             main = up.main or tag in ("article", "main") or given.get("role") == "main"
             node = _Node(tag, _hash(str(up.path), step), noise, main)
         self.stack.append(node)

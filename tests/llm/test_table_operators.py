@@ -217,6 +217,15 @@ def test_template_of_a_host_is_found_by_what_its_pages_share(spark):
     assert site_tree.extract(pages.limit(0)).count() == 0
 
 
+def test_all_children_and_ancestors_count():
+    many = "<body>" + "<p>a</p><div>b</div>" * 6000
+    looks = [dict(site_tree.page(many + end)[1]) for end in ("<p>c</p>", "<ul><li>c</ul>")]
+    body = [next(s for p, s in look.items() if p == site_tree.page("<body>x")[0][0][1]) for look in looks]
+    assert body[0] != body[1]
+    deep = [site_tree.page(f"<div class={c}>" + "<div>" * 60 + "x")[0][0][1] for c in "ab"]
+    assert deep[0] != deep[1]
+
+
 def test_importance_decides_inside_and_outside_article(spark):
     body = ("<p>Opening of {n}</p><article class=card><p>Teaser {n}</p></article><article><p>Story {n} is told here at length</p>"
             "<p>Write to our desk</p></article><div class=q><p>Offers of the week</p></div>")
