@@ -32,10 +32,9 @@ from pyspark.sql import functions as F
 from .common import numbered, written
 
 SIZE = 10
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words before A-Z are lower-cased, and what stands between them.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words; A-Z count as letters before and after they are lower-cased.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: A broadcast table holds no more than this of the benchmark.
 WINDOWS_AT_ONCE = 250_000
 BYTES_AT_ONCE = 64 << 20
@@ -50,7 +49,7 @@ def lowered(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; none of a null."""
-    return F.regexp_extract_all(lowered(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered(F.coalesce(text, F.lit(""))), f"{GAP}+"), "")
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
@@ -165,7 +164,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
     before = lambda x, i: (i == 0) | (F.try_element_at(mark, i) != x - 1)
     after = lambda x, i: (i == F.size(mark) - 1) | (F.try_element_at(mark, i + 2) != x + 1)
     cut = rows.select(
-        "*", F.regexp_extract_all(F.col(text), F.lit(f"{RAW_WORD}|{GAP}"), F.lit(0)).alias("tokens"),
+        "*", F.split(F.col(text), f"(?<={_WORD})(?={GAP})|(?<={GAP})(?={_WORD})").alias("tokens"),
         F.transform(F.filter(mark, before), lambda x: 2 * x + shift).alias("first"),
         F.transform(F.filter(mark, after), lambda x: 2 * x + shift + 1).alias("past"))
     kept = F.zip_with(F.concat(F.array(F.lit(0)), "past"), F.concat("first", F.array(F.size("tokens"))),
