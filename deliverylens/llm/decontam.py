@@ -92,7 +92,8 @@ def _found(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame
             .withColumn("seen", F.slice("w", F.col("at") + 1, F.col("len")))
             .withColumn("hash", F.xxhash64("seen")))
     table = windows.select(F.xxhash64("window").alias("hash"), "window", "items")
-    return (seen.join(F.broadcast(table), "hash").where("seen = window")
+    # Written with = the words would become a key of the join, and be copied for each lookup.
+    return (seen.join(F.broadcast(table), "hash").where("seen <= window AND seen >= window")
             .select("key", "doc_id", "n", "at", F.size("window").alias("len"), "items"))
 
 
