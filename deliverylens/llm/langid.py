@@ -159,14 +159,10 @@ class RankOrder:
         return self.langs[best], float(1 - far[best] / (self.size * len(top)))
 
 
-def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_SIZE) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, all other columns kept; ``model``: collected `profiles`.
-
-    Columns of the input named like the two new ones are replaced.
-    """
+def _identified(docs: DataFrame, model: pd.DataFrame, profile_size: int) -> DataFrame:
+    """``docs`` with its columns renamed by place, and ``lang_pred`` and ``score``."""
     arrow_tasks(docs.sparkSession)
-    given = docs.drop("lang_pred", "score")
-    rows, (text,) = numbered(given, "text")
+    rows, (text,) = numbered(docs, "text")
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
@@ -177,7 +173,22 @@ def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_S
             yield (b.append_column("lang_pred", pa.array([x[0] for x in found], pa.string()))
                    .append_column("score", pa.array([x[1] for x in found], pa.float64())))
 
-    return rows.mapInArrow(score, schema).toDF(*given.columns, "lang_pred", "score")
+    return rows.mapInArrow(score, schema)
+
+
+def identify(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_SIZE) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, all other columns kept; ``model``: collected `profiles`.
+
+    Columns of the input named like the two new ones are replaced.
+    """
+    given = docs.drop("lang_pred", "score")
+    return _identified(given, model, profile_size).toDF(*given.columns, "lang_pred", "score")
+
+
+def with_a_language(docs: DataFrame, model: pd.DataFrame, profile_size: int = PROFILE_SIZE) -> DataFrame:
+    """The rows of ``docs``, columns as given whatever their names, whose text has a language."""
+    found = _identified(docs, model, profile_size).where(F.col("lang_pred") != UNDETERMINED)
+    return found.drop("lang_pred", "score").toDF(*docs.columns)
 
 
 def training_fold(docs: DataFrame, folds: int, held: int) -> DataFrame:
