@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deliverylens.session import shared_dir
+from deliverylens.sources.versions import remove
 
 #: Rows of one Arrow batch handed to a Python task: bounds what a task holds of long texts.
 ARROW_ROWS = 1000
@@ -59,7 +60,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def removed(table: DataFrame) -> None:
+    """Delete a table that `written` returned, once nothing that is still to run reads it."""
+    remove(table.sparkSession, table._written_to)
 
 
 def hash_sample(df: DataFrame, n: int, *cols: str) -> DataFrame:

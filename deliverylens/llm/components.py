@@ -1,7 +1,8 @@
 """Connected components of a link table by alternating star contraction.
 
 Each round is two aggregations and joins; the link table is written to the
-shared folder after each. Nothing of it reaches the driver but three numbers.
+shared folder after each, and the one before is removed. Nothing of it reaches
+the driver but three numbers.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -34,8 +35,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
                   "links")
     seen = _digest(now)
     while seen[0]:
-        now = written(_stars(now), "links")
-        before, seen = seen, _digest(now)
+        after = written(_stars(now), "links")
+        removed(now)
+        now, before, seen = after, seen, _digest(after)
         if seen == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -10,10 +10,16 @@ shard goes on splitting in its task by the same rule until a leaf is small, and
 compares the leaf exactly. A shard returns a spanning forest of its links, not
 its pairs; the forests are joined by `components`.
 
+Each split repeats what lies near its radius, in 64 bits nearly a third of the
+rows, so the copies grow with the number of splits. A fingerprint has 8 bytes:
+shards are as large as a task can well hold (`SHARD_TARGET`), so that most
+splits happen in a task's memory and not in the shuffle.
+
 The tree's top is chosen from a bounded sample (`SAMPLE`) of the distinct
 fingerprints, which affects balance only, never which pairs are found. A shard
-that still holds over `SHARD_LIMIT` fingerprints is dealt out again as pairs
-of blocks, all of which are compared.
+that no vantage point splits well may hold over `SHARD_LIMIT` fingerprints; it
+is dealt out again as pairs of blocks of at most that size. A task splits the
+two blocks of a pair by vantage points of their own.
 
 Defined cases: null and empty texts have fingerprint zero and link like any
 other; texts with fewer words than a shingle are one shingle; rows are never
@@ -37,9 +43,9 @@ from .components import components
 
 SEED = 42
 SAMPLE = 16_384
-SHARD_TARGET = 8_192
-SHARD_LIMIT = 65_536
-LEAF = 384
+SHARD_TARGET = 262_144
+SHARD_LIMIT = 1_048_576
+LEAF = 768
 #: A split that leaves more than this share in one child is not worth its copies, across tasks and within one.
 _DENSE_TOP, _DENSE = 0.72, 0.85
 
@@ -175,6 +181,19 @@ def _dense_links(x: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]
     return found
 
 
+def _close(y: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs a < b of positions within ``bits``, some rows at a time so that they stay in cache."""
+    found = []
+    for i in range(0, len(y), 32):
+        hit = np.bitwise_count(y[i: i + 32, None] ^ y[None, i:]) <= bits
+        if np.count_nonzero(hit) > len(hit):  # each meets itself
+            a, b = np.nonzero(hit)
+            found.append((a[a < b] + i, b[a < b] + i))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
 def linked(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (position, position) that connect exactly what links within ``bits`` connect in distinct ``x``."""
     out: list[tuple[np.ndarray, np.ndarray]] = []
@@ -187,7 +206,7 @@ def linked(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
             todo += [who[split[2]], who[split[3]]]
             continue
         if len(who) <= 2 * LEAF:
-            a, b = np.nonzero(np.triu(np.bitwise_count(y[:, None] ^ y[None]) <= bits, 1))
+            a, b = _close(y, bits)
             if len(a) <= 2 * len(who):  # so few that the pairs themselves are a short answer
                 out.append((who[b], who[a]))
                 continue
