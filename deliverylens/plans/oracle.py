@@ -250,6 +250,7 @@ SQL: dict[str, str] = {
         true AS recent FROM events""",
     "scd1_events_latest": EVENTS_LATEST,
     "scd1_two_queries_one_table": EVENTS_LATEST,
+    "scd1_growing_table": "SELECT event_id, ts, user_id, event_type, value, props, true AS fits FROM events",
     "scd1_backfill_new_checkpoint": EVENTS_LATEST,
     "scd1_ties": """
       SELECT * EXCLUDE (rn) FROM (
