@@ -3,8 +3,9 @@
 Equal vectors are one node of the graph. Its first edges come from random
 projection trees: the top of each tree, chosen on a bounded sample (`SAMPLE`),
 deals the nodes to cells, and cells that stay large are halved by jobs until
-none has more than `CELL_LIMIT` nodes; a task goes on splitting its cell and
-compares each leaf. The number of trees grows with the nodes (`trees_for`). Then
+none has more than `CELL_LIMIT` nodes; a task goes on splitting its cell into
+leaves of `LEAF` nodes, whatever the size of the table, and compares each; a leaf
+gives a node its `FIRST` nearest. The number of trees grows with the nodes (`trees_for`). Then
 NN-descent improves the graph until a round changes less than `STOP` of its
 edges: around every node the ends of its edges, in and out, are joined with
 their vectors, and each pair of them that has not met there before and is nearer
@@ -50,7 +51,8 @@ CELL = 4096
 #: Cells of the top that the driver builds; larger cells than this are halved by jobs.
 TOP_CELLS = 1024
 CELL_LIMIT = 4 * CELL
-LEAF = 2048
+LEAF = 256
+FIRST = 16
 BLOCK = 256
 PAIRS = 16_384
 
@@ -261,7 +263,7 @@ def first_edges(vectors: Vectors, k: int = EDGES, trees: int | None = None, cell
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("node")
         ids = table["node"].to_numpy()
-        a, b, d = cell_edges(_matrix(table["vec"], dtype), k, int(table["tree"][0].as_py()))
+        a, b, d = cell_edges(_matrix(table["vec"], dtype), min(k, FIRST), int(table["tree"][0].as_py()))
         return pa.table({"node": ids[a], "to": ids[b], "d": d})
 
     dealt = written(nodes.select("node", "vec").mapInArrow(deal, "tree int, cell long, node long"), "cells")
@@ -293,7 +295,9 @@ def improved(edges: DataFrame, vectors: Vectors, k: int = EDGES, around: DataFra
     else:
         around = around.join(met.withColumn("old", F.lit(True)), ["at", "member"], "left").select(
             "at", "member", F.col("old").isNull().alias("fresh"))
-        around = around.join(around.where("fresh").select("at").distinct(), "at", "left_semi")
+        # Where nobody is new, all pairs have met: such nodes go before their vectors are fetched.
+        lists = around.groupBy("at").agg(F.collect_list(F.struct("member", "fresh")).alias("m"))  # 2 k + 1 at most
+        around = lists.where(F.exists("m", lambda x: x.fresh)).select("at", F.explode("m").alias("m")).select("at", "m.*")
     known = vectors.nodes.select(F.col("node").alias("member"), "vec").join(far, "member", "left")
     held = (around.join(known, "member")
             .groupBy("at").agg(F.collect_list(F.struct("member", F.coalesce("far", F.lit(float("inf"))).alias("far"),
