@@ -51,7 +51,7 @@ CELL = 4096
 #: Cells of the top that the driver builds; larger cells than this are halved by jobs.
 TOP_CELLS = 1024
 CELL_LIMIT = 4 * CELL
-LEAF = 256
+LEAF = 512
 FIRST = 16
 BLOCK = 256
 PAIRS = 16_384
