@@ -12,11 +12,16 @@ directly at it: the texts of nodes of low importance are removed, and single
 texts that nearly all pages of their node share (`LEAF`), inside ``article``
 and ``main`` as outside.
 
-``article`` and ``main`` only weigh: their nodes have `MAIN` added to their
-importance, and a page's text outside of them stays unless the tree removes it.
-Elements whose tag, class, id or role names a part that never is main text
-(menus, forms, adverts, ...) do not take part, which also serves hosts with few
-pages, where there is nothing to compare.
+Tags and names are a prior of a branch's importance. ``article`` and ``main`` add
+`MAIN`; a class or id that merely holds a word such as "share" or "related" takes
+`HINT` away; text outside of an article stays unless the tree removes it. Only
+elements that a tag, role or whole name calls a menu, form, advert and so on
+(``aside``, "cookie-box") do not take part, which serves hosts with few pages,
+where there is nothing to compare, and also that is no verdict: where all
+articles, or what a main name says is one, lie in such elements, those that hold one
+count as any other, and so does, on a page without one, one of no kind of
+`NEVER_MOST` that holds more than half of the page's text, and such a ``form`` anyway. Inline elements so called,
+scripts, styles, hidden elements and form controls have no text.
 
 Copies of an article, also near copies, are not template: of the pages of a
 host that have the same sampled block, one counts. A page samples its blocks by
@@ -53,6 +58,8 @@ THRESHOLD = 0.35
 STYLE_WEIGHT = 0.25
 #: Added to the importance of nodes in ``article`` and ``main``.
 MAIN = 0.25
+#: Taken from the importance of nodes below a name that holds a word of noise among others.
+HINT = 0.25
 #: A single text of less importance is template: more than m ** 0.9 of m pages have it.
 LEAF = 0.1
 #: So many marked (host, node or text) go to every task; more meet their pages in a join.
@@ -69,8 +76,9 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
          "th": {"tr", "table"}, "option": {"select"}, "body": {"html"}}
-NEVER_TEXT = frozenset("""head title script style noscript template nav footer aside form button select textarea input
-    label iframe object embed canvas svg math audio video map menu dialog datalist""".split())
+NEVER_TEXT = frozenset("""head title script style noscript template button select textarea input label iframe object
+    embed canvas svg math audio video map datalist""".split())
+NOISE_TAGS = frozenset("aside dialog footer form menu nav".split())
 NOISE_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar
     toolbar tablist status note""".split())
 NOISE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor
@@ -79,6 +87,13 @@ NOISE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising a
     breadcrumb breadcrumbs pagination pager toolbar widget widgets footer copyright""".split())
 LAYOUT_NAMES = frozenset("nav navbar navigation menu menus sidebar sidebars header masthead topbar".split())
 MAIN_NAMES = frozenset("article content main post entry story body text".split())
+#: Words that say nothing of what a part holds, so "ad-box" is an advert and "related-work" only a hint.
+PLAIN_NAMES = frozenset("""area articles bar block bottom box btn button buttons col column container count desktop float form
+    group header icon icons inner item items left link links list mobile module outer page panel posts primary right
+    row secondary section site slot space stories text title top unit widget wrap wrapper""".split()) | MAIN_NAMES
+#: Most of a page's text does not excuse these: a page may have little else than its menu or its readers' comments.
+NEVER_MOST = (NOISE_TAGS - {"form"}) | LAYOUT_NAMES | frozenset(
+    "comment comments disqus respond reply replies cookie cookies consent gdpr footer".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp
     small span strike strong sub sup time tt u var wbr""".split())
 
@@ -94,58 +109,93 @@ def _hash(*parts: str) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "noise", "main", "last", "children")
+    __slots__ = ("tag", "path", "dead", "zone", "weight", "main", "block", "last", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main = tag, path, noise, main
+    def __init__(self, tag: str, path: int, dead: bool, zone: int, weight: float, main: bool, block: _Node | None):
+        self.tag, self.path, self.dead, self.zone, self.weight, self.main = tag, path, dead, zone, weight, main
+        self.block = block or self  # the nearest that is not inline
         self.last: str | None = None
         self.children = xxhash.xxh64()  # of the child steps so far
 
 
+class _Zone:
+    """An element that its tag, role or name calls noise, until the page's end tells what it holds."""
+    __slots__ = ("up", "form", "may_hold_most", "holds", "chars", "noise")
+
+    def __init__(self, up: int, form: bool, may_hold_most: bool):
+        self.up, self.form, self.may_hold_most = up, form, may_hold_most
+        self.holds, self.chars, self.noise = False, 0, True
+
+
 class PageTree(HTMLParser):
-    """Text blocks and element styles of one page.
+    """Text blocks and element styles of one page, in time linear in its length however deep it is.
 
-    ``blocks``: (text, path of its element, inside ``article`` or ``main``);
+    ``blocks``: (text, path of its element, prior weight of its importance);
     ``styles``: (path, children) of the elements that may hold main text.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool]] = []
-        self.styles: list[tuple[int, int]] = []
-        self.stack = [_Node("", 0, False, False)]
+        self.zones: list[_Zone] = []
+        self.found: list[tuple[str, int, float, int]] = []
+        self.looks: list[tuple[int, int, int]] = []
+        self.main_outside, self.chars = False, 0
+        self.stack = [_Node("", 0, False, -1, 0.0, False, None)]
+        self.open: dict[str, list[int]] = {}  # places of the open elements in the stack, by tag
         self.text: list[str] = []
         self.feed(_CUT_TAG.sub("", html))
         self.close()
         while len(self.stack) > 1:
             self._pop()
         self._flush()
+        self._judge()
+        self.blocks = [(t, p, w) for t, p, w, z in self.found if z < 0 or not self.zones[z].noise]
+        self.styles = [(p, s) for p, s, z in self.looks if z < 0 or not self.zones[z].noise]
+
+    def _judge(self) -> None:
+        """Zones that are no noise: see the module's text. A zone stands after the one around it."""
+        for z in reversed(self.zones):
+            if z.up >= 0:
+                self.zones[z.up].holds |= z.holds
+                self.zones[z.up].chars += z.chars
+        held = any(z.holds for z in self.zones)
+        for z in self.zones:
+            most = (z.form or z.may_hold_most and not held and not self.main_outside) and 2 * z.chars > self.chars
+            z.noise = not (most or z.holds and not self.main_outside) or (z.up >= 0 and self.zones[z.up].noise)
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         self.text.clear()
-        node = next(n for n in reversed(self.stack) if n.tag not in INLINE)
-        if text and not node.noise:
-            self.blocks.append((text, node.path, node.main))
+        node = self.stack[-1].block
+        if not text or node.dead:
+            return
+        self.found.append((text, node.path, node.weight, node.zone))
+        self.chars += len(text)
+        if node.zone < 0:
+            self.main_outside |= node.main
+        else:
+            self.zones[node.zone].chars += len(text)
+            self.zones[node.zone].holds |= node.main
 
     def _pop(self) -> None:
         node = self.stack[-1]
         if node.tag in BLOCK:
             self._flush()
         self.stack.pop()
-        if node.tag not in INLINE and not node.noise and node.last is not None:
+        self.open[node.tag].pop()
+        if node.tag not in INLINE and not node.dead and node.last is not None:
             h = node.children.intdigest()
-            self.styles.append((node.path, h - (1 << 64) if h >> 63 else h))
+            self.looks.append((node.path, h - (1 << 64) if h >> 63 else h, node.zone))
+
+    def _nearest(self, tags: set[str]) -> int:
+        return max((places[-1] for t in tags if (places := self.open.get(t))), default=0)
 
     def _close(self, tags: set[str], scope: set[str]) -> None:
         """Close the nearest open element of ``tags`` unless one of ``scope`` stands before it."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in tags:
-                while len(self.stack) > i:
-                    self._pop()
-                return
-            if self.stack[i].tag in scope:
-                return
+        i = self._nearest(tags)
+        if i and i >= self._nearest(scope):
+            while len(self.stack) > i:
+                self._pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in CLOSES_P:
@@ -161,30 +211,46 @@ class PageTree(HTMLParser):
         up = self.stack[-1]
         given = {k: (v or "") for k, v in attrs}
         names = f"{given.get('class', '')} {given.get('id', '')}".strip()
-        noise = up.noise or self._is_noise(tag, names, given, up)
+        called, hint, main = self._prior(tag, names, given, up)
+        dead = (up.dead or tag in NEVER_TEXT or "hidden" in given or given.get("aria-hidden") == "true"
+                or (called is not None and tag not in BLOCK))
+        zone, weight = up.zone, up.weight
+        if called is not None and not dead:
+            self.zones.append(_Zone(zone, called == {"form"}, not called & NEVER_MOST))
+            zone = len(self.zones) - 1
+        if (tag in ("article", "main") or given.get("role") == "main") and weight <= 0:
+            weight += MAIN
+        if hint and weight >= 0:
+            weight -= HINT
         if tag in INLINE:
-            node = _Node(tag, up.path, noise, up.main)
+            node = _Node(tag, up.path, dead, zone, weight, up.main, up.block)
         else:
             step = f"{tag} {names}"
             if up.last != step:  # a run of like children is one
                 up.last = step
                 up.children.update(step.encode("utf-8", "surrogatepass") + b"\0")
-            main = up.main or tag in ("article", "main") or given.get("role") == "main"
-            node = _Node(tag, _hash(str(up.path), step), noise, main)
+            # What is called noise inside an article is no article that could excuse itself.
+            node = _Node(tag, _hash(str(up.path), step), dead, zone, weight, called is None and (up.main or main), None)
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(node)
 
     @staticmethod
-    def _is_noise(tag: str, names: str, given: dict, up: _Node) -> bool:
-        if tag in ("html", "body", "main"):
-            return False
-        if tag in NEVER_TEXT or "hidden" in given or given.get("aria-hidden") == "true":
-            return True
-        if given.get("role", "").lower() in NOISE_ROLES or (tag == "header" and not up.main):
-            return True
-        words = {w.lower() for w in _NAME.findall(names)}
-        if words & NOISE_NAMES and not (tag == "article" and not words & {"comment", "comments"}):
-            return True
-        return bool(words & LAYOUT_NAMES) and not up.main and not words & MAIN_NAMES
+    def _prior(tag: str, names: str, given: dict, up: _Node) -> tuple[frozenset | set | None, bool, bool]:
+        """Tag, role or words that call an element noise or null; a word of noise among others; a main part."""
+        tokens = [{w.lower() for w in _NAME.findall(t)} for t in names.split()]
+        main = tag in ("article", "main") or given.get("role") == "main"
+        named = any(t and t <= MAIN_NAMES for t in tokens)
+        if tag in ("html", "body", "main") or given.get("role") == "main":
+            return None, False, main
+        if tag in NOISE_TAGS or (tag == "header" and not up.main):
+            return {tag}, False, False
+        if given.get("role", "").lower() in NOISE_ROLES:
+            return {"nav"} if given["role"].lower() != "form" else {"form"}, False, False
+        noise = NOISE_NAMES if up.main else NOISE_NAMES | LAYOUT_NAMES
+        words = set().union(*(t & noise for t in tokens if not {w for w in t if not w.isdigit()} - noise - PLAIN_NAMES))
+        if words and not named and not (tag == "article" and not words & {"comment", "comments"}):
+            return words, False, False
+        return None, not named and any(t & noise for t in tokens), main or named
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -192,13 +258,13 @@ class PageTree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID:
             return
-        if tag in BLOCK and tag not in {n.tag for n in self.stack}:
+        if tag in BLOCK and not self.open.get(tag):
             self._flush()
             return
         self._close({tag}, {"table", "td"} if tag in INLINE else set())
 
     def handle_data(self, data: str) -> None:
-        if not self.stack[-1].noise:
+        if not self.stack[-1].dead:
             self.text.append(data)
 
 
@@ -227,14 +293,14 @@ def host(url: str | None) -> str:
 
 
 _BLOCK = T.StructType([T.StructField("text", T.StringType()), T.StructField("path", T.LongType()),
-                       T.StructField("main", T.BooleanType()), T.StructField("name", T.LongType())])
+                       T.StructField("weight", T.DoubleType()), T.StructField("name", T.LongType())])
 _STYLE = T.StructType([T.StructField("path", T.LongType()), T.StructField("style", T.LongType())])
 
 
 def parsed(pages: DataFrame) -> DataFrame:
     """page_id, url, host, a name of the html, its sampled block, blocks and styles of every row."""
     arrow_tasks(pages.sparkSession)
-    block = pa.struct([("text", pa.string()), ("path", pa.int64()), ("main", pa.bool_()), ("name", pa.int64())])
+    block = pa.struct([("text", pa.string()), ("path", pa.int64()), ("weight", pa.float64()), ("name", pa.int64())])
     style = pa.struct([("path", pa.int64()), ("style", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +311,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                 hosts.append(host(url))
                 names.append(_hash(html or ""))
                 samples.append(sampled(found))
-                blocks.append([{"text": t, "path": p, "main": main, "name": _hash(t)} for t, p, main in found])
+                blocks.append([{"text": t, "path": p, "weight": w, "name": _hash(t)} for t, p, w in found])
                 styles.append([{"path": p, "style": s} for p, s in set(looks)])
             yield pa.RecordBatch.from_arrays(
                 [b["page_id"], b["url"], pa.array(hosts, pa.string()), pa.array(names, pa.int64()),
@@ -259,9 +325,9 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def _counted(pages: DataFrame) -> DataFrame:
-    """host, page, blocks (path, main, name) and styles of the pages that count: one of those with one sampled block."""
+    """host, page, blocks (path, weight, name) and styles of the pages that count: one of those with one sampled block."""
     # Only names are shuffled, never texts.
-    slim = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["main"].alias("main"),
+    slim = F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["weight"].alias("weight"),
                                                     b["name"].alias("name")))
     first = (pages.where(F.col("sample").isNotNull()).groupBy("host", "sample").agg(F.min("name").alias("name"))
              .select("host", "name"))
@@ -270,19 +336,19 @@ def _counted(pages: DataFrame) -> DataFrame:
 
 
 def importance(once: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Over `_counted` pages: (host, path, main, importance, pages) of the nodes, (host, path, text, importance, pages) of the texts."""
+    """Over `_counted` pages: (host, path, weight, importance, pages) of the nodes, (host, path, text, importance, pages) of the texts."""
     texts = once.select("host", "page", F.explode("blocks").alias("b")).select(
-        "host", "page", F.col("b.path").alias("path"), F.col("b.main").alias("main"), F.col("b.name").alias("text"))
+        "host", "page", F.col("b.path").alias("path"), F.col("b.weight").alias("weight"), F.col("b.name").alias("text"))
     # k: pages that have this text at this node; the same text twice on a page counts twice in the mean, once in k.
-    shared = (texts.groupBy("host", "path", "text", "page").agg(F.count(F.lit(1)).alias("n"), F.max("main").alias("main"))
+    shared = (texts.groupBy("host", "path", "text", "page").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
               .groupBy("host", "path", "text")
-              .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("main").alias("main")))
+              .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("weight").alias("weight")))
     node_pages = (once.select("host", F.explode(F.array_distinct("blocks.path")).alias("path"))
                   .groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages")))
     content = (shared.groupBy("host", "path")
-               .agg(F.sum(F.col("n") * F.log("k")).alias("alike"), F.sum("n").alias("n"), F.max("main").alias("main"))
+               .agg(F.sum(F.col("n") * F.log("k")).alias("alike"), F.sum("n").alias("n"), F.max("weight").alias("weight"))
                .join(node_pages, ["host", "path"])
-               .select("host", "path", "main", "pages",
+               .select("host", "path", "weight", "pages",
                        F.when(F.col("pages") > 1, 1 - F.col("alike") / (F.log("pages") * F.col("n")))
                        .otherwise(F.lit(1.0)).alias("content")))
     styles = (once.select("host", F.explode("styles").alias("s"))
@@ -293,7 +359,7 @@ def importance(once: DataFrame) -> tuple[DataFrame, DataFrame]:
                       .otherwise(F.lit(1.0)).alias("style")))
     weight = F.when(F.col("style").isNull(), F.lit(0.0)).otherwise(F.lit(STYLE_WEIGHT))
     score = weight * F.coalesce("style", F.lit(0.0)) + (1 - weight) * F.col("content")
-    nodes = content.join(styles, ["host", "path"], "left").select("host", "path", "main", "pages",
+    nodes = content.join(styles, ["host", "path"], "left").select("host", "path", "weight", "pages",
                                                                   score.alias("importance"))
     leaves = (shared.join(node_pages, ["host", "path"])
               .select("host", "path", "text", "pages",
@@ -315,7 +381,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
     """
     table = written(parsed(pages).withColumn("uid", F.monotonically_increasing_id()), "page_trees")
     nodes, leaves = importance(written(_counted(table), "counted_pages"))
-    weighed = F.col("importance") + F.when(F.col("main"), F.lit(MAIN)).otherwise(F.lit(0.0))
+    weighed = F.col("importance") + F.col("weight")
     low = written(nodes.where((weighed < threshold) & (F.col("pages") >= least_pages))
                   .select("host", "path", F.lit(None).cast("long").alias("text"))
                   .unionByName(leaves.where((F.col("importance") < LEAF) & (F.col("pages") >= least_pages))

@@ -1,8 +1,11 @@
 """Operators over whole tables: near-duplicates, neighbours, pages, archives, the pipeline."""
 
+import collections
 import hashlib
 import html
+import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -204,6 +207,80 @@ def test_structure_names_what_is_not_main_text():
     assert site_tree.page(None) == ([], []) and site_tree.page("<p>abc <art")[0][0][0] == "abc"
 
 
+@pytest.mark.parametrize("page, kept", [
+    ("<body><form><article><p>text", "text"),
+    ('<div class="post-content share-enabled"><p>text', "text"),
+    ('<div class="entry has-comments"><p>text', "text"),
+    ('<div class="widget-area"><article><p>text', "text"),
+    ('<article><p>a</p><section class="related-work"><p>text</p></section></article>', "a text"),
+    ("<body><form id=all><div class=newsletter>q</div><p>long long text</p></form>", "long long text"),
+    ("<div class=content><form>long long text</form>x</div>", "long long text x"),
+    ("<div class=content>short<form>q</form></div><div class=comments>long long long long</div>", "short"),
+    ("<article>a<article class=comment>c</article><div class=comments><article>x</article></div></article>", "a"),
+    ('<div class="related-posts"><article>teaser of it</article></div><main><p>m</p></main>', "m"),
+    ("<nav>only a long menu</nav>", ""), ("<form>a<input>", "a"), ("<p>a <span class=ad>b</span> c", "a c"),
+])
+def test_names_weigh_and_do_not_decide(page, kept):
+    assert " ".join(b[0] for b in site_tree.page(page)[0]) == kept
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<div>" * 100_000 + "x", 1), ("<div>" * 50_000 + "<p>x</p></p>" * 50_000, 50_000),
+    ("<b>" * 50_000 + "x</div>" * 50_000, 50_000), ("<p><table>" + "<div>x" * 100_000, 100_000),
+    ("<div class=comments>" * 50_000 + "x", 0), ("word " * 1_000_000, 1)])
+def test_time_of_deep_and_long_pages_is_linear(page, blocks):
+    begun = time.process_time()
+    assert len(site_tree.page(page)[0]) == blocks
+    assert time.process_time() - begun < 60  # minutes, were it quadratic
+
+
+def test_importance_equals_a_naive_style_tree(spark):
+    r = np.random.default_rng(9)
+    pages = []
+    for n in range(60):
+        parts = [f"<div class=c{j}>{'<p>' if r.random() < .5 else '<ul><li>'}{r.choice(['same', 'few', str(n)])} {j}</div>"
+                 for j in range(5) if r.random() < .8]
+        pages.append((n, f"http://{'ab'[n % 2]}.example/{n}", "".join(parts) + "<article class=s>Own " + f"{n} " * 4000))
+    once = site_tree._counted(site_tree.parsed(spark.createDataFrame(pages, "page_id long, url string, html string")))
+    nodes, leaves = site_tree.importance(once)
+    got = {(x.host, x.path): (x.pages, x.importance) for x in nodes.collect()}
+    got_leaves = {(x.host, x.path, x.text): x.importance for x in leaves.collect()}
+
+    trees = {}
+    for _, url, text in pages:  # each has an own long block, so all count
+        blocks, looks = site_tree.page(text)
+        for t, path, _ in blocks:
+            trees.setdefault((site_tree.host(url), path), {}).setdefault(url, ([], []))[0].append(t)
+        for path, look in set(looks):
+            if (site_tree.host(url), path) in trees:
+                trees[site_tree.host(url), path].setdefault(url, ([], []))
+    styles = {}
+    for _, url, text in pages:
+        for path, look in set(site_tree.page(text)[1]):
+            styles.setdefault((site_tree.host(url), path), []).append(look)
+
+    def entropy(counts, base):
+        return -sum(c / sum(counts) * math.log(c / sum(counts), base) for c in counts)
+
+    assert set(got) == set(trees)
+    for key, by_page in trees.items():
+        by_page = {u: b for u, (b, _) in by_page.items() if b}
+        m = len(by_page)
+        each = []
+        for url, texts in by_page.items():
+            for t in texts:
+                k = sum(t in other for other in by_page.values())
+                each.append(1 - entropy([1] * k, m) if m > 1 else 1.0)
+                assert got_leaves[(*key, site_tree._hash(t))] == pytest.approx(each[-1])
+        content = sum(each) / len(each)
+        looks = styles.get(key)
+        if looks:
+            counts = list(collections.Counter(looks).values())
+            look = entropy(counts, len(looks)) if len(looks) > 1 else 1.0
+            content = site_tree.STYLE_WEIGHT * look + (1 - site_tree.STYLE_WEIGHT) * content
+        assert got[key] == (m, pytest.approx(content))
+
+
 def test_template_of_a_host_is_found_by_what_its_pages_share(spark):
     body = "<div class=q1>All offers of the week</div><div class=q2><p>Text {n} is the only one</p><p>more of {n}</p></div><div class=q3>Made in {k}</div>"
     rows = [(n, f"http://h.example/{n}", body.format(n=f"page {n} " * 5, k="AB"[n % 2])) for n in range(40)]
