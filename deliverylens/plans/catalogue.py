@@ -9,6 +9,7 @@ arrays.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -333,6 +334,22 @@ def gold_views_written(spark, sf):
     return refresh.read_gold(spark, out, "releases")
 
 
+def quality_rule_runs(spark, sf):
+    out = scratch_path(spark, "gold-rules")
+    refresh.write_gold(*refresh.current_tables(spark, sf, AS_OF), out, as_of=AS_OF)
+    return refresh.rule_runs(spark, out).select("view", "version", "rule", "action", "rows", "broken", "outcome")
+
+
+def releases_update_time(spark, sf):
+    """``last_update`` of a roll-up without a stated time is the time of its run."""
+    begun = datetime.now(timezone.utc).replace(microsecond=0)
+    rel = gold.release_rollup(refresh.mapped(spark, sf, AS_OF, columns=refresh.ROLLUP_INPUT), order=False)
+    rel = refresh.materialise(spark, rel, "releases-now")
+    return rel.agg(F.count(F.lit(1)).alias("n_releases"), F.count_distinct("last_update").alias("n_times"),
+                   F.min(F.col("last_update") >= F.lit(begun)).alias("since_begin"),
+                   F.max(F.col("last_update") <= F.current_timestamp()).alias("before_end"))
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "releases_rollup": releases_rollup,
     "mapped_items": mapped_items,
@@ -379,4 +396,6 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_stories_current": silver_stories_current,
     "stored_variant_paths": stored_variant_paths,
     "gold_views_written": gold_views_written,
+    "quality_rule_runs": quality_rule_runs,
+    "releases_update_time": releases_update_time,
 }

@@ -384,5 +384,14 @@ SELECT * FROM agg""",
     "stored_variant_paths": BASE + """
       SELECT id, state AS payload_state, client_id AS payload_client_id, rev AS payload_rev FROM stories""",
     "gold_views_written": ROLLUP + " SELECT * FROM rollup",
+    "quality_rule_runs": "SELECT 'mapped_items' AS view, CAST(0 AS BIGINT) AS version, 'story_found' AS rule,"
+    " 'warn' AS action, rows, broken, 'written' AS outcome FROM (" + _mapped_cte() + """
+      SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE ado_story_id IS NULL) AS BIGINT) AS broken
+      FROM mapped)
+      UNION ALL SELECT 'releases', 0, 'states_add_up', 'fail', n, 0, 'written' FROM (""" + ROLLUP + """
+      SELECT CAST(count(*) AS BIGINT) AS n FROM rollup)""",
+    "releases_update_time": ROLLUP + """
+      SELECT CAST(count(*) AS BIGINT) AS n_releases, CAST(1 AS BIGINT) AS n_times, true AS since_begin,
+        true AS before_end FROM rollup""",
     "closed_parent_tag_flags": BASE + " SELECT id, state, is_closed, has_parent, has_tags, tags FROM stories",
 }

@@ -8,6 +8,8 @@ before they return (see :func:`materialise`); nothing is collected.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ STORY_KEYS = ["id"]
 STORY_SEQUENCE = ["rev", "extraction_timestamp"]
 FEED_STORY_SEQUENCE = ["changed_date", "rev", "extraction_timestamp"]
 
+# Folder of the quality record beside the gold views.
+RULE_RUNS = "rule_runs"
+
 GOLD_ISSUE_COLUMNS = [
     "jira_id", "jira_name", "project_name", "issue_type", "status", "description", "reporter",
     "assignee", "priority", "story_points", "parent_jira_id", "fix_versions", "fix_version_ids",
@@ -103,19 +108,42 @@ def write_gold(issues: DataFrame, stories: DataFrame, out_dir: str, as_of: str |
     written) and the 17-column releases table (fail rule and NOT NULL checked
     inline). Each is written as a new version below ``out_dir``, so a row that
     breaks a rule stops its write and leaves the last good version in place;
-    read them with :func:`read_gold`. Returns the warn observation."""
+    read them with :func:`read_gold`. What the rules counted is appended to the
+    table of :func:`rule_runs`. Returns the warn observation."""
     from ..operators import gold, quality
 
-    spark = issues.sparkSession
+    run = uuid.uuid4().hex
     mapped_df = quality.enforce_schema(map_items(issues, stories), gold.MAPPED_ITEMS_DDL)
-    mapped_df, warn = quality.with_warn_rules(mapped_df, [gold.MAPPING_WARN_RULE], "mapped_items")
-    versions.publish(mapped_df, f"{out_dir}/mapped_items")
-    rel = release_rollup(read_gold(spark, out_dir, "mapped_items"), as_of=as_of, order=False)
-    rel = quality.enforce_schema(quality.with_fail_rules(rel, [gold.RELEASE_FAIL_RULE]), gold.RELEASES_DDL)
-    versions.publish(rel, f"{out_dir}/releases")
+    warn = _publish_counted(mapped_df, out_dir, "mapped_items", [gold.MAPPING_WARN_RULE], "warn", run)
+    rel = release_rollup(read_gold(issues.sparkSession, out_dir, "mapped_items"), as_of=as_of, order=False)
+    _publish_counted(rel, out_dir, "releases", [gold.RELEASE_FAIL_RULE], "fail", run,
+                     lambda df: quality.enforce_schema(quality.with_fail_rules(df, [gold.RELEASE_FAIL_RULE]),
+                                                       gold.RELEASES_DDL))
     return warn
 
 
+def _publish_counted(df: DataFrame, out_dir: str, view: str, rules: list, action: str, run: str, guard=lambda df: df):
+    """Publish ``guard(df)``, counting in the same pass, and record the run however it ends."""
+    from ..operators import quality
+
+    spark = df.sparkSession
+    counted, seen = quality.with_counts(df, rules, view)
+    try:
+        version = versions.publish(guard(counted), f"{out_dir}/{view}")
+    except Exception:
+        quality.record_run(spark, f"{out_dir}/{RULE_RUNS}", run, view, rules, action, None, None)
+        raise
+    quality.record_run(spark, f"{out_dir}/{RULE_RUNS}", run, view, rules, action, version, seen.get)
+    return seen
+
+
+def rule_runs(spark: SparkSession, out_dir: str) -> DataFrame:
+    """A row per quality rule and run of :func:`write_gold`, from the first on."""
+    from ..operators import quality
+
+    return spark.read.schema(quality.RULE_RUNS_DDL).parquet(f"{out_dir}/{RULE_RUNS}")
+
+
 def read_gold(spark: SparkSession, out_dir: str, view: str) -> DataFrame | None:
     """The last good version of a gold view, None before the first."""
     return versions.current(spark, f"{out_dir}/{view}")

@@ -114,9 +114,10 @@ def id_chunks(df: DataFrame, id_col: str, chunk_size: int, stage_path: str) -> D
 
 def chunk_bodies(chunks: DataFrame, bodies: DataFrame, id_col: str) -> DataFrame:
     """Second read step: the bodies of the listed ids with the chunk that asks
-    for each. The list and the bodies meet in a join on the executors, where
-    AQE may split an id that holds many rows."""
-    listed = chunks.select(id_col, "chunk_id").distinct()
+    for each. An id listed more than once is read by the first chunk that names
+    it, also where its copies lie in two chunks. The list and the bodies meet in
+    a join on the executors, where AQE may split an id that holds many rows."""
+    listed = chunks.groupBy(id_col).agg(F.min("chunk_id").alias("chunk_id"))
     return bodies.join(listed, id_col)
 
 

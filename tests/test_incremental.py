@@ -51,6 +51,14 @@ def test_local_wall_clock_is_ambiguous_on_clock_change(spark):
     assert got == ["2024-10-27 02:30", "2024-10-27 02:30"]
 
 
+def test_an_id_listed_twice_has_its_body_once(spark):
+    listed = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, 3, 4)], "id long")
+    chunks = inc.id_chunks(listed, "id", 3, scratch_path(spark, "twice"))
+    bodies = spark.createDataFrame([(i, f"body {i}") for i in range(6)], "id long, body string")
+    got = sorted((r.id, r.chunk_id) for r in inc.chunk_bodies(chunks, bodies, "id").collect())
+    assert got == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def test_id_chunks_match_consecutive_ranks(spark):
     ids = spark.range(0, 2000, 3).withColumnRenamed("id", "k").repartition(5)
     out = inc.id_chunks(ids, "k", 200, scratch_path(spark, "chunks"))
