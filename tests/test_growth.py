@@ -1,7 +1,12 @@
 """What the batch refresh holds, shuffles and stores stays in proportion when the feeds grow."""
+import glob
+
 from conftest import SF_SMALL
 from deliverylens.operators import gold
 from deliverylens.plans import catalogue, refresh
+from deliverylens.session import scratch_path
+from deliverylens.sources import tables
+from deliverylens.streaming.flows import export_change_files
 
 
 def _plan(df) -> str:
@@ -17,3 +22,33 @@ def test_pruned_variant_tables_are_not_broadcast(spark):
         assert "Broadcast" not in _plan(m)
         assert m.count() > 0
     assert "Broadcast" not in _plan(gold.unmatched_items(issues, stories).select("jira_id"))
+
+
+def test_payloads_are_built_by_tasks_of_bounded_rows(spark, monkeypatch):
+    n_orders, n_lines = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet").count() for t in ("orders", "lineitem"))
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    for build, n in ((tables.client_issues_bronze, n_orders), (tables.internal_stories_bronze, n_lines)):
+        sizes = [len(p) for p in build(spark, SF_SMALL).select("raw_data").rdd.glom().collect()]
+        assert sum(sizes) == n
+        assert max(sizes) < 200
+
+
+def test_derived_columns_are_not_shuffled(spark):
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "200")
+    try:
+        plan = _plan(refresh.current_stories(spark, SF_SMALL, catalogue.AS_OF))
+    finally:
+        spark.conf.set(fields, before)
+    shuffle = plan.index("Exchange hashpartitioning(id")
+    assert "regexp_replace" in plan[:shuffle] and "regexp_replace" not in plan[shuffle:]
+    assert "variant_get" not in plan[:shuffle]
+
+
+def test_tables_on_the_way_are_packed(spark):
+    kept = scratch_path(spark, "exported")
+    export_change_files(spark.range(10), kept, "id", by_range=False)
+    assert glob.glob(f"{kept}/*.zstd.parquet")
+    table = refresh.materialise(spark, spark.range(10), "packed")
+    assert all(f.endswith(".zstd.parquet") for f in table.inputFiles())
