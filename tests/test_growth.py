@@ -52,3 +52,28 @@ def test_tables_on_the_way_are_packed(spark):
     assert glob.glob(f"{kept}/*.zstd.parquet")
     table = refresh.materialise(spark, spark.range(10), "packed")
     assert all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_payload_stages_are_compiled(spark):
+    """Methods of more than 8000 bytes are interpreted by the JVM."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    for build in (tables.client_issues_bronze, tables.internal_stories_bronze):
+        build(spark, SF_SMALL)
+        assert int(spark.conf.get(key)) <= 8000
+        spark.conf.unset(key)
+    spark.conf.set(key, "5000")
+    tables.client_issues_bronze(spark, SF_SMALL)
+    assert spark.conf.get(key) == "5000"
+    spark.conf.unset(key)
+
+
+def test_a_payload_is_walked_once(spark):
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "200")
+    try:
+        plan = _plan(refresh.current_stories(spark, SF_SMALL, catalogue.AS_OF).select("id", "title", "state", "tags"))
+    finally:
+        spark.conf.set(fields, before)
+    assert plan.count("try_variant_get(") == 1

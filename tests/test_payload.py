@@ -4,8 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from deliverylens.functions.payload import (FieldSpec, cast_failures, comma_list, extract, parse_payload,
-                                            strip_markup, with_path_levels)
+from deliverylens.functions.payload import (FieldSpec, cast_failures, comma_list, extract, field_col, field_of,
+                                            fields_read, parse_payload, strip_markup, walkable, with_path_levels)
 
 
 def _one(spark, text, spec):
@@ -78,3 +78,36 @@ def test_path_levels_short_path_gives_null(spark):
 def test_comma_list(spark):
     df = spark.createDataFrame([(" a, b,,c ",)], "s string")
     assert df.select(comma_list("s")).first()[0] == ["a", "b", "c"]
+
+
+HARD_VALUES = [
+    "null", "1", "-7", "3.7", "1e3", "2147483648", "-2147483649", "99999999999999999999", '"12"', '" 5 "', '"3.5"',
+    '"abc"', "true", '{"a":1}', "[1,2]", '"2024-03-01T10:00:00.123-0300"', '"2024-03-01"', '"2024-3-1"', '"2024"',
+    "2024", "1700000000", "1.2E-5", '"12:30:00"', '"10000-01-01"', '"+2024-01-01"', '""', '"-"', '"2024-13-01"']
+
+
+@pytest.mark.parametrize("type_", ["string", "int", "timestamp", "boolean", "array<variant>", "array<string>"])
+def test_one_walk_reads_what_the_paths_read(spark, type_):
+    texts = [t for v in HARD_VALUES for t in ('{"fields":{"System.X":%s,"o":{"n":%s},"z":"k"}}' % (v, v),
+                                              '{"fields":%s}' % v, v, '{"fields":{"o":%s}}' % v)]
+    specs = [FieldSpec("x", '$.fields["System.X"]', type_, "try"), FieldSpec("n", "$.fields.o.n", type_, "try"),
+             FieldSpec("z", "$.fields.z", "string", "try")]
+    df = spark.createDataFrame([(t,) for t in [*texts, "{}", "{", None]], "j string").withColumn(
+        "v", parse_payload("j", lenient=True)).withColumn("r", fields_read("v", specs))
+    rows = df.select("j", *[F.to_json(F.struct(c)).alias(f"{k}_{s.name}") for s in specs for k, c in
+                            (("walk", field_of("r", "v", s)), ("path", field_col("v", s)))]).collect()
+    assert all(r[f"walk_{s.name}"] == r[f"path_{s.name}"] for r in rows for s in specs)
+    assert any(r.walk_x != "{}" for r in rows)
+
+
+def test_one_walk_raises_where_the_path_does(spark):
+    for value, type_ in (('"x"', "int"), ("2147483648", "int"), ('"x"', "timestamp"), ("5", "array<variant>")):
+        spec = FieldSpec("p", "$.p", type_)
+        df = spark.createDataFrame([('{"p": %s}' % value,)], "j string").withColumn("v", parse_payload("j"))
+        with pytest.raises(PySparkException):
+            df.withColumn("r", fields_read("v", [spec])).select(field_of("r", "v", spec)).collect()
+
+
+def test_only_paths_of_keys_that_do_not_cross_are_walked():
+    specs = [FieldSpec("a", "$.f.a"), FieldSpec("b", "$.f.a.b"), FieldSpec("c", "$.f.c[0]"), FieldSpec("d", '$.f["d.e"]')]
+    assert walkable(specs) == [specs[3]]
