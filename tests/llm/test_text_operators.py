@@ -406,6 +406,48 @@ def test_no_part_of_a_run_is_lost():
         assert conv.logits(changed, layout.start[i], layout.end[i]) != conv.logits(layout.classes, layout.start[i], layout.end[i])
 
 
+@pytest.mark.parametrize("block", [128, 16_384])
+def test_rows_give_the_gradient_of_their_windows(monkeypatch, block):
+    """Bodies of every length class, own and lent surroundings, against the plain network."""
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    r = np.random.default_rng(8)
+    sizes = np.array([6, 8, 9, 16, 17, 64, 65, 128, 300, 7])
+    end = np.cumsum(sizes + 40)
+    start, flat = end - sizes, r.integers(33, 128, int(end[-1]) + 40).astype(np.uint8)
+    who, give = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 3, 8]), np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 0, 6, 1])
+    windows = [flat[start[i] - secrets._LEAD: end[i] + secrets._TAIL] for i in range(len(sizes))]
+    seen = [secrets.lent(windows[i], windows[g]) for i, g in zip(who, give)]
+    y, weight = (who % 2).astype(float), 1.0 + who
+    net = secrets.CharCnn(4)
+    rows = secrets.Rows(flat, start, end, who, give)
+    assert np.allclose(net.row_logits(rows), net._forward(seen)[-1], atol=1e-3)
+    want, got = net._gradient(seen, y, weight), net.row_gradient(rows, y, weight)
+    assert all(np.allclose(got[k], want[k], atol=1e-3) for k in want)
+    layout, = _laid("some longer words, then password=abcdefgh123 and so on")
+    assert [secrets.window_hash(layout.window(i)) for i in range(len(layout.start))] == secrets._hashes(layout).tolist()
+
+
+def test_every_candidate_is_learned_from(spark):
+    """However small the sample to start from, the networks, counts and curve are those of all candidates."""
+    r = random.Random(9)
+    code = lambda n: "".join(r.choices("0123456789abcdef", k=n))
+    texts = [f"longer words stand around token={code(12)} number {i} of these texts " * 3 for i in range(60)]
+    texts += [texts[0], None, "", f"token={code(600)}"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    layouts = _laid(*[t or "" for t in texts])
+    secret = sum(int(a.known.sum()) for a in layouts)
+    every = sum(len(a.start) for a in layouts)
+    model = secrets.learn(docs, sample=30)
+    assert (model.report["secrets"], model.report["others"]) == (secret, every - secret)
+    assert model.report["recall"] >= 0.99
+    again = secrets.learn(docs, sample=30)
+    assert again.threshold == model.threshold and again.curve == model.curve
+    nets = secrets.starts(*zip(*{a.window(i): bool(a.known[i]) for a in layouts for i in range(40)}.items()))
+    fill = {a.window(int(i)) for a in layouts for i in np.flatnonzero(a.known)[:30]}
+    moved = secrets.mixed(docs, nets, sorted(fill, key=len)[:40])
+    assert all(np.abs(a.flat() - b.flat()).max() > 1e-4 for a, b in zip(nets, moved))
+
+
 def test_findings_and_redaction(spark, hard_docs, no_docs):
     docs = _documents(spark)
     text = {r.doc_id: r.text for r in docs.collect()}
