@@ -1,5 +1,7 @@
 """What the batch refresh holds, shuffles and stores stays in proportion when the feeds grow."""
 import glob
+import json
+from collections import Counter
 
 from conftest import SF_SMALL
 from deliverylens.operators import gold
@@ -77,3 +79,16 @@ def test_a_payload_is_walked_once(spark):
     finally:
         spark.conf.set(fields, before)
     assert plan.count("try_variant_get(") == 1
+
+
+def test_issue_changes_come_from_one_reading(spark):
+    """The earlier change of an issue is a second row of its order, not a second reading of the orders."""
+    feed = tables.client_issues_bronze(spark, SF_SMALL, as_of=catalogue.AS_OF, changes=True)
+    assert _plan(feed).count("orders.parquet") == 1
+    columns = ["jira_internal_id", "updated", "raw_data"]
+    every, once = (Counter(map(tuple, df.select(*columns).collect()))
+                   for df in (feed, tables.client_issues_bronze(spark, SF_SMALL, as_of=catalogue.AS_OF)))
+    assert not once - every
+    earlier = every - once
+    assert sorted(int(r[0]) for r in earlier.elements()) == sorted(int(r[0]) for r in once.elements() if int(r[0]) % 5 == 2)
+    assert earlier and all(json.loads(r[2])["fields"]["status"]["name"] == "Backlog" for r in earlier)

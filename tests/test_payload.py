@@ -111,3 +111,17 @@ def test_one_walk_raises_where_the_path_does(spark):
 def test_only_paths_of_keys_that_do_not_cross_are_walked():
     specs = [FieldSpec("a", "$.f.a"), FieldSpec("b", "$.f.a.b"), FieldSpec("c", "$.f.c[0]"), FieldSpec("d", '$.f["d.e"]')]
     assert walkable(specs) == [specs[3]]
+
+
+@pytest.mark.parametrize("mode", ["strict", "try"])
+def test_whole_numbers_as_text(spark, mode):
+    """Numbers read as text without a cast planned for each of them; every other value as by its path."""
+    values = ["7", "-12", "9223372036854775807", "92233720368547758070", "1.50", "1e3", '"007"', '"a"', "null", "true",
+              '{"b":1}', "[1,2]"]
+    rows = [(i, '{"a":{"n":%s}}' % v) for i, v in enumerate(values)] + [(-1, '{"a":{}}'), (-2, "{}"), (-3, None)]
+    spec = FieldSpec("n", "$.a.n", mode=mode, whole=True)
+    df = spark.createDataFrame(rows, "i int, raw string").select("i", parse_payload("raw").alias("v"))
+    got = df.withColumn("_read", fields_read("v", [spec])).select(
+        "i", field_of("_read", "v", spec), field_col("v", FieldSpec("by_path", "$.a.n", mode=mode)))
+    assert got.where(~F.col("n").eqNullSafe(F.col("by_path"))).count() == 0
+    assert {r.n for r in got.where("i in (0, 1, 2)").collect()} == {"7", "-12", "9223372036854775807"}
