@@ -1,13 +1,17 @@
 """What the batch refresh holds, shuffles and stores stays in proportion when the feeds grow."""
 import glob
 import json
+import time
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from deliverylens.operators import gold
 from deliverylens.plans import catalogue, refresh
 from deliverylens.session import scratch_path
-from deliverylens.sources import tables
+from deliverylens.sources import parts, tables, versions
 from deliverylens.streaming.flows import export_change_files
 
 
@@ -92,3 +96,96 @@ def test_issue_changes_come_from_one_reading(spark):
     earlier = every - once
     assert sorted(int(r[0]) for r in earlier.elements()) == sorted(int(r[0]) for r in once.elements() if int(r[0]) % 5 == 2)
     assert earlier and all(json.loads(r[2])["fields"]["status"]["name"] == "Backlog" for r in earlier)
+
+
+def _rows(df) -> Counter:
+    return Counter(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_written_tables_leave_no_shuffle_behind(spark):
+    before = _shuffle_files(spark)
+    made = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table = refresh.materialise(spark, made, "seven")
+    for _ in range(100):  # the files go in the background
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert table.count() == 7
+
+
+def test_current_stories_come_in_parts(spark, monkeypatch):
+    whole = _rows(refresh.current_stories(spark, SF_SMALL, catalogue.AS_OF).drop("raw_data"))
+    monkeypatch.setattr(parts, "ROWS_PER_PART", 2000)
+    every = tables.story_parts(spark, SF_SMALL)
+    assert len(every) > 2
+    sizes = [refresh.current_stories(spark, SF_SMALL, catalogue.AS_OF, part=p, columns=["id"]).count() for p in every]
+    assert sum(sizes) == whole.total() and max(sizes) < 1.2 * 2000
+    assert _rows(catalogue.silver_stories_current(spark, SF_SMALL)) == whole
+
+
+def test_stored_payloads_come_in_parts(spark, monkeypatch):
+    whole = _rows(catalogue.stored_variant_paths(spark, SF_SMALL))
+    monkeypatch.setattr(parts, "ROWS_PER_PART", 4000)
+    seen = _written_sizes(monkeypatch)
+    assert _rows(catalogue.stored_variant_paths(spark, SF_SMALL)) == whole
+    assert len(seen) == 1 and seen[0] > 1
+
+
+def _written_sizes(monkeypatch) -> list[int]:
+    """How many parts each table that is written from now on comes in."""
+    seen, write = [], refresh.written
+
+    def counted(spark, parts, *args, **kwargs):
+        every = list(parts)
+        seen.append(len(every))
+        return write(spark, every, *args, **kwargs)
+
+    monkeypatch.setattr(refresh, "written", counted)
+    return seen
+
+
+ISSUES = [("A", 1), (" A ", 2), (None, 3), (None, 4), ("B", 5), ("C", 6), ("D", 7), ("D", 7)]
+STORIES = [("s1", "A", "New"), ("s2", " A", "Closed"), ("s2", " A", "Closed"), ("s3", "A ", None), ("s4", None, "New"),
+           ("s5", "B", "Removed"), ("s6", "C", "Active"), (None, "D", "New"), ("s7", "Z", "New")]
+
+
+def _tables(spark):
+    """Issues and stories with odd keys, every other column empty."""
+    i = spark.createDataFrame(ISSUES, "jira_id string, story_points int")
+    s = spark.createDataFrame(STORIES, "id string, client_id string, state string")
+    issue_types = dict(f.split(" ")[:2] for f in (
+        "fix_versions array<variant>", "fix_version_ids array<string>", "labels array<string>", "is_closed boolean",
+        "created_date timestamp", "updated_date timestamp"))
+    story_types = dict(f.split(" ") for f in ("rev int", "story_points int", "priority int", "is_closed boolean",
+                                              "board_column_done boolean"))
+    empty = lambda df, names, types: df.select("*", *[
+        F.lit(None).cast(types.get(c, "string")).alias(c) for c in names if c not in df.columns])
+    names = [src or "fix_versions" for _, src in gold.ISSUE_SIDE]
+    return (empty(i, names, issue_types), empty(s, [src for _, src in gold.STORY_SIDE], story_types))
+
+
+def test_mapping_in_parts_is_the_mapping(spark, monkeypatch):
+    issues, stories = _tables(spark)
+    for options in ({}, {"strategy": "left_join"}, {"keep_null_state": True}):
+        whole = _rows(gold.map_items(issues, stories, **options))
+        with monkeypatch.context() as m:
+            m.setattr(parts, "ROWS_PER_PART", 4)
+            assert _rows(refresh.map_by_parts(issues, stories, **options)) == whole
+
+
+def test_mapped_items_come_in_parts(spark, monkeypatch):
+    queries = (catalogue.mapped_items, catalogue.mapped_items_left_join, catalogue.mapped_items_keep_null_state)
+    whole = [_rows(q(spark, SF_SMALL)) for q in queries]
+    monkeypatch.setattr(parts, "ROWS_PER_PART", 3000)
+    for query, rows in zip(queries, whole):
+        with monkeypatch.context() as m:
+            seen = _written_sizes(m)
+            assert _rows(query(spark, SF_SMALL)) == rows
+            assert len(seen) == 3 and seen[1] > 1 and seen[2] > 1
