@@ -189,3 +189,30 @@ def test_mapped_items_come_in_parts(spark, monkeypatch):
             seen = _written_sizes(m)
             assert _rows(query(spark, SF_SMALL)) == rows
             assert len(seen) == 3 and seen[1] > 1 and seen[2] > 1
+
+
+def test_gold_is_written_in_parts(spark, monkeypatch):
+    issues, stories = _tables(spark)
+    issues = issues.where("jira_id is not null")
+    found, published = [], versions.publish
+    monkeypatch.setattr(versions, "publish", lambda df, root: (found.append(df), published(df, root))[1])
+    for size in (1000, 4):
+        with monkeypatch.context() as m:
+            m.setattr(parts, "ROWS_PER_PART", size)
+            out = scratch_path(spark, "gold-parts")
+            warn = refresh.write_gold(issues, stories, out, as_of=catalogue.AS_OF)
+            runs = refresh.rule_runs(spark, out).select("view", "version", "rule", "rows", "broken", "outcome")
+            found.append((warn.get, _rows(refresh.read_gold(spark, out, "mapped_items")), _rows(runs)))
+    assert len(found[0]) == 1 and len(found[3]) > 1
+    assert found[2] == found[5]
+
+
+def test_a_version_in_parts_counts_once_whole(spark):
+    root = scratch_path(spark, "parted")
+    versions.publish([spark.range(3), spark.range(3, 5)], root)
+    bad = spark.range(1).select(F.raise_error(F.lit("stopped")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        versions.publish([spark.range(7), bad], root)
+    assert versions.current(spark, root).count() == 5
+    versions.publish(spark.range(2), root)
+    assert versions.current(spark, root).count() == 2 and len(versions.numbers(spark, root, whole=False)) == 1
