@@ -1,6 +1,7 @@
 """What the batch refresh holds, shuffles and stores stays in proportion when the feeds grow."""
 import glob
 import json
+import os
 import time
 from collections import Counter
 
@@ -12,7 +13,7 @@ from deliverylens.operators import gold
 from deliverylens.plans import catalogue, refresh
 from deliverylens.session import scratch_path
 from deliverylens.sources import parts, tables, versions
-from deliverylens.streaming.flows import export_change_files
+from deliverylens.streaming.flows import export_change_files, file_stream, to_bronze
 
 
 def _plan(df) -> str:
@@ -216,3 +217,25 @@ def test_a_version_in_parts_counts_once_whole(spark):
     assert versions.current(spark, root).count() == 5
     versions.publish(spark.range(2), root)
     assert versions.current(spark, root).count() == 2 and len(versions.numbers(spark, root, whole=False)) == 1
+
+
+def test_refresh_takes_feeds_in_by_parts(spark, monkeypatch):
+    from deliverylens.plans import streams
+
+    whole = _rows(streams.end_to_end_refresh(spark, SF_SMALL))
+    exported, export = [], streams.export_change_files
+    monkeypatch.setattr(streams, "export_change_files", lambda df, path, *a, **k: (exported.append(path), export(df, path, *a, **k)))
+    monkeypatch.setattr(parts, "ROWS_PER_PART", 4000)
+    assert _rows(streams.end_to_end_refresh(spark, SF_SMALL)) == whole
+    assert len(exported) > 2 and len(set(exported)) == 2
+
+
+def test_bronze_is_packed_tighter_than_pages(spark):
+    pages, bronze = scratch_path(spark, "pages"), scratch_path(spark, "bronze")
+    feed = tables.internal_stories_bronze(spark, SF_SMALL, as_of=catalogue.AS_OF).drop("extraction_timestamp").coalesce(1)
+    export_change_files(feed, pages, "id", by_range=False)
+    to_bronze(file_stream(spark, pages, feed.schema), bronze, scratch_path(spark, "ck-packed"))
+    size = {path: sum(os.path.getsize(f) for f in glob.glob(f"{path}/*.parquet")) for path in (pages, bronze)}
+    assert size[bronze] < 0.95 * size[pages]
+    assert _rows(spark.read.parquet(bronze).drop("extraction_timestamp")) == _rows(feed)
+    assert spark.conf.get("parquet.compression.codec.zstd.level", None) is None
